@@ -10,9 +10,16 @@ BROADCAST_ROWS = 1_000_000
 SALTS = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows. Counting stops one row past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """A local copy of a table of at most ``max_rows`` rows and True, or the table itself and False.
+
+    One bounded job both checks the size and computes the rows, so a small derived table is not computed again by the
+    plans that use it. Fetching stops one row past the bound.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df, False
+    return df.sparkSession.createDataFrame(rows, schema=df.schema), True
 
 
 def lookup_join(
@@ -25,7 +32,9 @@ def lookup_join(
     ``small`` skips the check where the caller has a bound (a top-k table, a fixed list).
     """
     on = [on] if isinstance(on, str) else list(on)
-    if small if small is not None else fits_broadcast(right):
+    if small is None:
+        right, small = settle(right)
+    if small:
         return left.join(F.broadcast(right), on, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
