@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from verbalis.operators.lookup import bucketed_rank
 
+WHITE_SPACE = r"[\p{Z}\t\n\x0B\f\r\x1c-\x1f\x{85}]+"
+
 # Order of the term kinds in the feature columns.
 KIND_ORDER = {"lemma": 0, "bigram": 1, "trigram": 2}
 
@@ -62,7 +64,7 @@ def corpus_counts(raw_words: int, vocab: DataFrame) -> DataFrame:
 def distinct_text_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct pieces of the lowercased texts between white space, punctuation kept."""
     return (
-        docs.select(F.explode(F.split(F.lower(text_col), r"[ \t\n\r\f\x0B]+")).alias("word"))
+        docs.select(F.explode(F.split(F.lower(text_col), WHITE_SPACE)).alias("word"))
         .filter(F.col("word") != "")
         .distinct()
     )
