@@ -8,6 +8,7 @@ that do not fit.
 from __future__ import annotations
 
 import unicodedata
+from dataclasses import asdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,20 +31,20 @@ def collect_facts(facts: DataFrame, max_rows: int = FACT_ROWS) -> dict | None:
     return dict(zip(columns[0], zip(*columns[1:])))
 
 
-def _unknown(word: str, profile: JunkProfile, stop_words: frozenset) -> tuple:
+def _unknown(word: str, rules: dict, stop_words: frozenset) -> tuple:
     """Facts of a word no lexicon knows."""
     tag = next((t for suffix, t in SUFFIX_TAGS if word.endswith(suffix)), DEFAULT_TAG)
-    keep = not profile.are_dictionary
-    keep = keep and not (profile.are_alpha and not word.isalpha())
-    keep = keep and not (profile.are_not_stop and word in stop_words)
-    keep = keep or (profile.allow_number and all(unicodedata.category(c)[0] == "N" for c in word))
-    keep = keep or profile.allow_alphanum or profile.allow_acronyms
+    keep = not rules["are_dictionary"]
+    keep = keep and not (rules["are_alpha"] and not word.isalpha())
+    keep = keep and not (rules["are_not_stop"] and word in stop_words)
+    keep = keep or (rules["allow_number"] and all(unicodedata.category(c)[0] == "N" for c in word))
+    keep = keep or rules["allow_alphanum"] or rules["allow_acronyms"]
     return tag, keep, word, None, None
 
 
 def facts_column(spark, facts: dict, profile: JunkProfile, stop_words=STOP_WORDS):
     """A function of an array column of words: its kept lemmas, tag counts and mean sentiment."""
-    shared = spark.sparkContext.broadcast((facts, profile, frozenset(stop_words)))
+    shared = spark.sparkContext.broadcast((facts, asdict(profile), frozenset(stop_words)))
 
     @F.pandas_udf(FACTS)
     def describe(words: pd.Series) -> pd.DataFrame:

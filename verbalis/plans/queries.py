@@ -487,7 +487,7 @@ def _sizes(spark, sf):
 
 @query
 def chi2_scores(spark, sf):
-    return _round(S.chi2_scores(S.class_moments(_features(spark, sf)), _sizes(spark, sf)), "score", digits=5)
+    return S.chi2_scores(S.class_moments(_features(spark, sf)), _sizes(spark, sf))
 
 
 @query
@@ -559,7 +559,7 @@ def separating_words(spark, sf):
     values = V.l2_rows(V.tfidf(counts, idf))
     scores = S.chi2_scores(S.class_moments(values), Rec.class_sizes(words))
     catalog = vocab.select("term_id", F.col("term").alias("name"))
-    return _round(S.select_k_best(scores, catalog, 50).select("name", "score", "feature"), "score", digits=5)
+    return S.select_k_best(scores, catalog, 50).select("name", "score", "feature")
 
 
 # ---- scaling of numeric features, votes and metrics --------------------------------------------------------------
