@@ -424,7 +424,7 @@ oracle(
 )
 T["binned"] = (
     "SELECT f.term_id, l.label, coalesce(CASE WHEN f.term_id < (SELECT count(*) FROM vocab) THEN CASE WHEN value > 0 THEN 1 ELSE 0 END "
-    "WHEN value IS NULL THEN 0 ELSE least(floor(value * 10), 9) END, 0) AS bin FROM (SELECT DISTINCT term_id FROM feats) f CROSS JOIN lab l "
+    "WHEN value IS NULL THEN 0 ELSE least(floor(round(value * 10, 6)), 9) END, 0) AS bin FROM (SELECT DISTINCT term_id FROM feats) f CROSS JOIN lab l "
     "LEFT JOIN feats x ON x.term_id = f.term_id AND x.doc_id = l.doc_id"
 )
 T["joint"] = "SELECT term_id, label, bin, count(*) AS j FROM binned GROUP BY term_id, label, bin"
@@ -552,3 +552,17 @@ oracle(
     "SELECT model, f1_macro FROM macro WHERE f1_macro >= 0.1 ORDER BY f1_macro DESC, CASE model WHEN 'source' THEN 1 WHEN 'length' THEN 2 ELSE 3 END LIMIT 2",
 )
 oracle("passing_models", "SELECT model, f1_macro FROM macro WHERE f1_macro >= 0.2")
+
+# ---- neighbours and workbooks
+T["vhash"] = "SELECT vec_id AS doc_id, CAST(label AS VARCHAR) AS label, embedding, md5('5:' || vec_id) AS h FROM embeddings"
+T["vsplit"] = _stratified("vhash", "CAST(ceil(0.2 * total) AS BIGINT)")
+T["vside"] = "SELECT doc_id, label, split, CAST(embedding AS DOUBLE[]) AS e FROM vhash JOIN vsplit USING (doc_id, label)"
+oracle(
+    "knn_predict",
+    "SELECT query_id, CAST(label AS INTEGER) AS prediction FROM (SELECT query_id, label, row_number() OVER (PARTITION BY query_id "
+    "ORDER BY count(*) DESC, CAST(label AS INTEGER)) AS r FROM (SELECT q.doc_id AS query_id, t.label, row_number() OVER "
+    "(PARTITION BY q.doc_id ORDER BY round(list_sum(list_transform(list_zip(q.e, t.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6), "
+    "t.doc_id) AS near FROM vside q CROSS JOIN vside t WHERE q.split = 'test' AND t.split = 'train') WHERE near <= 5 GROUP BY query_id, label) "
+    "WHERE r = 1",
+)
+oracle("read_xlsx", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang AS label FROM documents")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verbalis.functions import text as T
+from verbalis.learners import families as Fam
+from verbalis.learners.voting import VotingModel
 from verbalis.operators import cleaning as C
 from verbalis.operators import metrics as M
+from verbalis.operators import neighbours as Nb
 from verbalis.operators import ngrams as N
 from verbalis.operators import records as Rec
 from verbalis.operators import rowstats as R
@@ -19,7 +25,12 @@ from verbalis.operators import vocabulary as Y
 from verbalis.params import TrainingParams
 from verbalis.plans import data as D
 from verbalis.plans import features as Fe
+from verbalis.plans import fixtures
+from verbalis.plans import search as Se
+from verbalis.plans.automator import AutoTextClassifier, load_model, score
 from verbalis.sources import tables
+from verbalis.sources.workbooks import parse_workbooks
+from verbalis.streaming.scoring import read_text_stream, score_stream
 
 SEED = 5
 SETTINGS = TrainingParams(number_of_records_to_include=1.0, min_records_per_class=20)
@@ -683,3 +694,191 @@ def passing_models(spark, sf):
     """Models that reach a macro F1 of 0.2."""
     table = _round(_summary(spark, sf), "f1_macro").withColumn("model_order", F.lit(0))
     return M.rank_models(table, "f1_macro", 0.2).select("model", "f1_macro")
+
+
+# ---- classifiers ------------------------------------------------------------------------------------------------
+
+
+def _vectors(spark, sf) -> DataFrame:
+    """The embeddings as training rows: ``doc_id, label, label_index, features, split``."""
+
+    def build():
+        rows = D.table(spark, sf, "embeddings").select(
+            F.col("vec_id").alias("doc_id"),
+            F.col("label").cast("string").alias("label"),
+            F.col("label").cast("double").alias("label_index"),
+            array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+        )
+        return D.workspace(spark, sf).keep(Sa.holdout_split(rows, 0.2, "stratified", SEED), "vectors")
+
+    return D.once(spark, sf, "vectors", build)
+
+
+def _sides(spark, sf):
+    vectors = _vectors(spark, sf)
+    return vectors.filter("split = 'train'").drop("split"), vectors.filter("split = 'test'").drop("split")
+
+
+# Fewer trees, rounds and iterations than the defaults, so that all families run in a check.
+LIGHT = {
+    "logistic": {"max_iter": 50},
+    "linear_svm": {"max_iter": 10},
+    "poly_svm": {"max_iter": 5},
+    "rbf_svm": {"max_iter": 5, "components": 256},
+    "random_forest": {"trees": 20},
+    "extra_trees": {"trees": 20},
+    "adaboost": {"trees": 5},
+    "mlp": {"max_iter": 50},
+}
+TASK = Fam.Task(classes=10, features=64, seed=SEED, overrides=LIGHT)
+
+
+def _predicted(model, test: DataFrame) -> DataFrame:
+    return model.transform(test).select("doc_id", "label", F.col("prediction").cast("int").cast("string").alias("prediction"))
+
+
+def _family_query(family: str):
+    def run(spark, sf):
+        train, test = _sides(spark, sf)
+        return _predicted(Fam.build(family, TASK).fit(train), test)
+
+    run.__name__ = f"clf_{family}"
+    run.__doc__ = f"Hold-out predictions of a {family} classifier fitted on the train side of the embeddings."
+    return query(run)
+
+
+for _family in Fam.FAMILIES:
+    _family_query(_family)
+
+
+@query
+def calibrated_svm(spark, sf):
+    """Hold-out predictions of the calibrated linear SVM."""
+    train, test = _sides(spark, sf)
+    return _predicted(Fam.build("linear_svm", TASK, final=True).fit(train), test)
+
+
+@query
+def knn_predict(spark, sf):
+    """Five nearest train rows of every test row, and their majority label."""
+    train, test = _sides(spark, sf)
+    array = vector_to_array("features").alias("x")
+    near = Nb.neighbours(
+        test.select(F.col("doc_id").alias("query_id"), array),
+        train.select(F.col("doc_id").alias("id"), array, F.col("label_index").cast("int").alias("label")),
+        5,
+    )
+    return Nb.majority(near)
+
+
+@query
+def voting_models(spark, sf):
+    """Soft vote of three fitted models."""
+    train, test = _sides(spark, sf)
+    models = [Fam.build(f, TASK).fit(train) for f in ("logistic", "knn", "random_forest")]
+    return _predicted(VotingModel(models, "soft"), test)
+
+
+@query
+def cv_predictions(spark, sf):
+    """Out-of-fold predictions of all rows."""
+    data = Sa.stratified_folds(_vectors(spark, sf).drop("split"), 5, SEED)
+    return Se.cross_predictions(Fam.build("decision_tree", TASK), data, 5)
+
+
+@query
+def random_search(spark, sf):
+    """Best drawn settings of a decision tree and its mean macro F1."""
+    params = TrainingParams(n_hyperparam_combos=3, model_tuning_cv_folds_count=3)
+    train, _ = _sides(spark, sf)
+    tuned = Se.random_search("decision_tree", Sa.stratified_folds(train, 3, SEED), TASK, params)
+    rows = [("score", str(round(tuned.score, 6)))] + [(k, str(v)) for k, v in sorted(tuned.settings.items())]
+    return spark.createDataFrame(rows, "setting string, value string")
+
+
+@query
+def select_models(spark, sf):
+    """Cross-validated metrics of three families on a capped pool."""
+    params = TrainingParams(model_selection_cv_folds_count=3)
+    train, _ = _sides(spark, sf)
+    metrics, _, _ = Se.select_models(train, TASK, params, ("logistic", "knn", "decision_tree"))
+    return metrics
+
+
+@query
+def evaluate_best(spark, sf):
+    """Hold-out metrics of two fitted models."""
+    train, test = _sides(spark, sf)
+    tuned = [Se.Tuned(f, Fam.build(f, TASK).fit(train), {}, None) for f in ("logistic", "decision_tree")]
+    return Se.evaluate_models(test, tuned, TrainingParams())[0]
+
+
+# ---- whole runs -------------------------------------------------------------------------------------------------
+
+
+def _run(spark, sf):
+    """A training run on the language of the documents."""
+
+    def build():
+        params = TrainingParams(
+            label_col_name="lang",
+            number_of_records_to_include=1.0,
+            min_records_per_class=20,
+            model_selection_cv_folds_count=3,
+            n_promising_models_to_select=1,
+            n_hyperparam_combos=2,
+            model_tuning_cv_folds_count=3,
+        )
+        trainer = AutoTextClassifier(params, D.lexicons(spark, sf), ("logistic", "decision_tree"), LIGHT)
+        return trainer.fit(D.documents(spark, sf).drop("source"))
+
+    return D.once(spark, sf, "run", build)
+
+
+@query
+def fit_classifier(spark, sf):
+    """Hold-out metrics of a whole training run."""
+    return _run(spark, sf).evaluation
+
+
+@query
+def run_report(spark, sf):
+    return _run(spark, sf).report()
+
+
+@query
+def score_documents(spark, sf):
+    """Every document scored by the fitted model."""
+    docs = D.documents(spark, sf).select("doc_id", "text", "lang")
+    return score(_run(spark, sf).model, docs).select("doc_id", "lang", "predicted_label")
+
+
+@query
+def save_load_score(spark, sf):
+    """The same after saving and loading the model."""
+    path = f"{D.workspace(spark, sf).path}/saved"
+    _run(spark, sf).save(path)
+    docs = D.documents(spark, sf).select("doc_id", "text", "lang")
+    return score(load_model(path), docs).select("doc_id", "lang", "predicted_label")
+
+
+@query
+def stream_score(spark, sf):
+    """All conversation turns scored as a file stream."""
+    space = D.workspace(spark, sf)
+    turns = D.table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("doc_id"), "text")
+    landed = space.keep(turns, "turns")
+    stream = read_text_stream(spark, f"{space.path}/turns", landed.schema)
+    sink = f"{space.path}/scored-{uuid.uuid4().hex}"
+    score_stream(_run(spark, sf).model, stream, sink, f"{sink}-checkpoint").awaitTermination()
+    return spark.read.parquet(sink).select("doc_id", "predicted_label")
+
+
+@query
+def read_xlsx(spark, sf):
+    """Documents packed into workbooks by Spark and read back."""
+    columns = ["doc_id", "text", "lang"]
+    books = D.documents(spark, sf).select(F.col("doc_id").cast("string"), "text", "lang").mapInPandas(
+        fixtures.pack_workbooks(columns), "content binary"
+    )
+    return parse_workbooks(books, columns).withColumnRenamed("lang", "label")
