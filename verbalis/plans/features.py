@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
@@ -31,6 +32,7 @@ from verbalis.plans.cleaner import TextCleaner
 from verbalis.session import Workspace
 
 KINDS = ("lemma", "bigram", "trigram")
+VOCABULARY_BOUND = 2_000_000
 
 
 def build_cleaner(lexicons: Lexicons, params: TrainingParams) -> TextCleaner:
@@ -89,6 +91,8 @@ class FeatureModel:
     def stages(self) -> list:
         """MLlib stages from the cleaner's columns to ``features``: narrow, persistable, usable on streams."""
         p = self.params
+        if self.counts["term_count"] > VOCABULARY_BOUND:
+            raise ValueError("the vocabulary does not fit a model; raise the frequency requirements")
         binary = p.term_value == "presence"
         terms = [(r.term, r.kind) for r in self.vocab.orderBy("term_id").toLocalIterator()]
         stages, parts = [], []
@@ -189,3 +193,15 @@ def fit_features(cleaned: DataFrame, lexicons: Lexicons, params: TrainingParams,
     selected = space.keep(S.select_k_best(scores, catalog, k), "selected")
     counts = {"term_count": n_terms, "features_count": n_terms + len(names), "selected_features_count": k}
     return FeatureModel(vocab, idf, names, bounds, selected, params, counts)
+
+
+class TextFeatures(Estimator):
+    """``fit`` on cleaned labelled records gives a saveable model from the cleaner's columns to ``features``."""
+
+    def __init__(self, lexicons: Lexicons, params: TrainingParams, space: Workspace | None = None):
+        super().__init__()
+        self.lexicons, self.params, self.space = lexicons, params, space
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        space = self.space or Workspace(dataset.sparkSession)
+        return PipelineModel(fit_features(dataset, self.lexicons, self.params, space).stages())

@@ -826,7 +826,7 @@ def _run(spark, sf):
             min_records_per_class=20,
             model_selection_cv_folds_count=3,
             n_promising_models_to_select=1,
-            n_hyperparam_combos=2,
+            n_hyperparam_combos=1,
             model_tuning_cv_folds_count=3,
         )
         trainer = AutoTextClassifier(params, D.lexicons(spark, sf), ("logistic", "decision_tree"), LIGHT)
