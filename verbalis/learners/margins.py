@@ -18,7 +18,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.learners.scored import HasClassColumns, ScoredModel, matrix, set_params
+from verbalis.learners.scored import HasClassColumns, ScoredModel, compacted, matrix, set_params
 from verbalis.operators.sampling import stratified_folds
 
 EXACT_DIMS = 64  # up to here the degree-2 map is written out; beyond, it is sketched
@@ -32,10 +32,6 @@ def linear_machine(classes: int, reg: float, max_iter: int, features: str = "fea
     return OneVsRest(classifier=machine, featuresCol=features, labelCol="label_index", parallelism=parallelism)
 
 
-def class_count(dataset: DataFrame, label_col: str) -> int:
-    return int(dataset.agg(F.max(label_col).alias("m")).first().m) + 1
-
-
 class CalibratedModel(ScoredModel):
     """Mean over folds of the normalised sigmoids of linear margins."""
 
@@ -57,25 +53,26 @@ def platt_sigmoids(margins: DataFrame, steps: int = 12) -> dict[tuple[int, int],
     """
     sizes = margins.groupBy("fold", "class").agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")).collect()
     values = {(r["fold"], r["class"]): [0.0, math.log((r.neg + 1.0) / (r.pos + 1.0))] for r in sizes}
-    targets = margins.sparkSession.createDataFrame(
-        [(r["fold"], r["class"], (r.pos + 1.0) / (r.pos + 2.0), 1.0 / (r.neg + 2.0)) for r in sizes],
-        "fold int, class int, high double, low double",
+    slots = {key: i for i, key in enumerate(sorted(values))}
+    classes = 1 + max(c for _, c in values)
+    size = {(r["fold"], r["class"]): (r.pos, r.neg) for r in sizes}
+    of_slot = lambda pick: F.get(
+        F.array(*[F.lit(float(pick(key))) for key in sorted(values)]), F.col("slot")
     )
+    index = F.array(*[F.lit(slots.get((f, c), 0)) for f in range(1 + max(f for f, _ in values)) for c in range(classes)])
+    high, low = of_slot(lambda k: (size[k][0] + 1.0) / (size[k][0] + 2.0)), of_slot(lambda k: 1.0 / (size[k][1] + 2.0))
     data = (
-        margins.join(F.broadcast(targets), ["fold", "class"])
-        .select("fold", "class", "margin", F.when(F.col("hit") == 1, F.col("high")).otherwise(F.col("low")).alias("t"))
+        margins.withColumn("slot", F.get(index, F.col("fold") * classes + F.col("class")))
+        .select("slot", "margin", F.when(F.col("hit") == 1, high).otherwise(low).alias("t"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     for _ in range(steps):
-        current = margins.sparkSession.createDataFrame(
-            [(f, c, a, b) for (f, c), (a, b) in values.items()], "fold int, class int, a double, b double"
-        )
-        p = 1.0 / (1.0 + F.exp(F.col("a") * F.col("margin") + F.col("b")))
+        a, b = of_slot(lambda k: values[k][0]), of_slot(lambda k: values[k][1])
+        p = 1.0 / (1.0 + F.exp(a * F.col("margin") + b))
         m, w = F.col("margin"), F.col("p") * (1.0 - F.col("p"))
         sums = (
-            data.join(F.broadcast(current), ["fold", "class"])
-            .withColumn("p", p)
-            .groupBy("fold", "class")
+            data.withColumn("p", p)
+            .groupBy("slot")
             .agg(
                 F.sum((F.col("t") - F.col("p")) * m).alias("ga"),
                 F.sum(F.col("t") - F.col("p")).alias("gb"),
@@ -85,13 +82,14 @@ def platt_sigmoids(margins: DataFrame, steps: int = 12) -> dict[tuple[int, int],
             )
             .collect()
         )
-        change = 0.0
+        change, keys = 0.0, sorted(values)
         for r in sums:
+            at = values[keys[r.slot]]
             hessian = np.array([[r.haa + 1e-9, r.hab], [r.hab, r.hbb + 1e-9]])
             step = np.linalg.solve(hessian, np.array([r.ga, r.gb]))
             step *= min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
-            values[(r["fold"], r["class"])][0] -= float(step[0])
-            values[(r["fold"], r["class"])][1] -= float(step[1])
+            at[0] -= float(step[0])
+            at[1] -= float(step[1])
             change = max(change, float(np.abs(step).max()))
         if change < 1e-5:
             break
@@ -115,13 +113,15 @@ class CalibratedSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultPa
 
     def _fit(self, dataset: DataFrame) -> CalibratedModel:
         label, folds = self.col("labelCol"), self.getOrDefault(self.folds)
-        classes = class_count(dataset, label)
+        size = dataset.agg(
+            F.count(F.lit(1)).alias("n"), F.max(label).alias("m"), F.max(F.size(vector_to_array(self.col("featuresCol")))).alias("d")
+        ).first()
+        classes = int(size.m) + 1
         rows = dataset.select(
             F.col(self.col("idCol")).alias("doc_id"), F.col(self.col("featuresCol")).alias("features"), F.col(label).alias("label_index")
         )
-        rows = stratified_folds(rows, folds, self.getOrDefault(self.seed), "doc_id", "label_index").persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        rows = stratified_folds(rows, folds, self.getOrDefault(self.seed), "doc_id", "label_index")
+        rows = compacted(rows, size.n, size.d).persist(StorageLevel.MEMORY_AND_DISK)
         machine = linear_machine(classes, self.getOrDefault(self.regParam), self.getOrDefault(self.maxIter))
         parts, margins = [], None
         for fold in range(folds):

@@ -44,6 +44,18 @@ class HasClassColumns(HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
         )
 
 
+VALUES_PER_PARTITION = 1_000_000
+
+
+def compacted(rows: DataFrame, count: int, width: int) -> DataFrame:
+    """Training rows spread over as many partitions as their size asks for.
+
+    Iterative learners run many short jobs, whose cost on a small pool is the number of tasks. The rows are shuffled
+    once; what comes before keeps its own partitioning.
+    """
+    return rows.repartition(max(1, -(-count * max(1, width) // VALUES_PER_PARTITION)))
+
+
 def matrix(rows: pd.Series) -> np.ndarray:
     return np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, 0))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from verbalis.functions import text as T
 from verbalis.learners import families as Fam
+from verbalis.learners.scored import compacted
 from verbalis.learners.voting import VotingModel
 from verbalis.operators import cleaning as C
 from verbalis.operators import metrics as M
@@ -709,7 +710,8 @@ def _vectors(spark, sf) -> DataFrame:
             F.col("label").cast("double").alias("label_index"),
             array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
         )
-        return D.workspace(spark, sf).keep(Sa.holdout_split(rows, 0.2, "stratified", SEED), "vectors")
+        split = Sa.holdout_split(rows, 0.2, "stratified", SEED)
+        return D.workspace(spark, sf).keep(compacted(split, rows.count(), 64), "vectors")
 
     return D.once(spark, sf, "vectors", build)
 
@@ -782,7 +784,8 @@ def voting_models(spark, sf):
 @query
 def cv_predictions(spark, sf):
     """Out-of-fold predictions of all rows."""
-    data = Sa.stratified_folds(_vectors(spark, sf).drop("split"), 5, SEED)
+    vectors = _vectors(spark, sf).drop("split")
+    data = compacted(Sa.stratified_folds(vectors, 5, SEED), vectors.count(), 64)
     return Se.cross_predictions(Fam.build("decision_tree", TASK), data, 5)
 
 
@@ -791,7 +794,8 @@ def random_search(spark, sf):
     """Best drawn settings of a decision tree and its mean macro F1."""
     params = TrainingParams(n_hyperparam_combos=3, model_tuning_cv_folds_count=3)
     train, _ = _sides(spark, sf)
-    tuned = Se.random_search("decision_tree", Sa.stratified_folds(train, 3, SEED), TASK, params)
+    data = compacted(Sa.stratified_folds(train, 3, SEED), train.count(), 64)
+    tuned = Se.random_search("decision_tree", data, TASK, params)
     rows = [("score", str(round(tuned.score, 6)))] + [(k, str(v)) for k, v in sorted(tuned.settings.items())]
     return spark.createDataFrame(rows, "setting string, value string")
 
