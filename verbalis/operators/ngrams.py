@@ -116,6 +116,12 @@ def bigram_scores(docs: DataFrame, good: DataFrame | None, min_count: int = 20,
     return pairs.withColumn("score", bigram_g2(total))
 
 
+def _pair_counts(pairs: DataFrame, needed: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Counts of the needed pairs; others are dropped before they are shuffled."""
+    kept = lookup_join(pairs, needed, keys, "left_semi", small)
+    return kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 def trigram_scores(docs: DataFrame, good: DataFrame | None, min_count: int = 10, words_col: str = "words") -> DataFrame:
     """``w1, w2, w3``, all counts and the score of every trigram of good words that is frequent enough."""
     counts = word_counts(docs, words_col)
@@ -127,20 +133,16 @@ def trigram_scores(docs: DataFrame, good: DataFrame | None, min_count: int = 10,
         .agg(F.count(F.lit(1)).alias("n123"))
         .filter(F.col("n123") >= min_count)
     )
+    # Pair counts are needed only for pairs inside a kept trigram; both adjacent pairs come from one bigram count.
     grams, few = settle(grams)
-    # Pair counts are needed only for pairs inside a kept trigram.
-    for keys, out, table in (
-        (["w1", "w2"], "n12", ngram_table(docs, 2, words_col)),
-        (["w2", "w3"], "n23", ngram_table(docs, 2, words_col).withColumnsRenamed({"w2": "w3", "w1": "w2"})),
-        (["w1", "w3"], "n13", ngram_table(docs, 3, words_col).drop("w2")),
-    ):
-        needed = grams.select(*keys).distinct()
-        pair_counts = (
-            lookup_join(table, needed, keys, "left_semi", few or None)
-            .groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias(out))
-        )
-        grams = grams.join(pair_counts, keys)
+    adjacent = grams.select("w1", "w2").union(grams.select("w2", "w3")).distinct()
+    pairs = _pair_counts(ngram_table(docs, 2, words_col), adjacent, ["w1", "w2"], few)
+    outer = _pair_counts(ngram_table(docs, 3, words_col).drop("w2"), grams.select("w1", "w3").distinct(), ["w1", "w3"], few)
+    if few:
+        pairs, _ = settle(pairs)
+    grams = grams.join(pairs.withColumnRenamed("n", "n12"), ["w1", "w2"])
+    grams = grams.join(pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("n").alias("n23")), ["w2", "w3"])
+    grams = grams.join(outer.withColumnRenamed("n", "n13"), ["w1", "w3"])
     for i in (1, 2, 3):
         grams = lookup_join(grams, _named(words, f"w{i}", f"n{i}"), f"w{i}", "inner", small)
     return grams.withColumn("score", trigram_g2(total))

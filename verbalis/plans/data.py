@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verbalis.functions.lexicons import Lexicons, dictionary_from_corpus, seed_lexicons
 from verbalis.plans.cleaner import TextCleaner
-from verbalis.session import Workspace
+from verbalis.session import Workspace, spread
 
 DICTIONARY_MIN_DOCS = 5
 _kept: dict[tuple, object] = {}
@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

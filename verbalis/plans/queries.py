@@ -272,7 +272,13 @@ def sentence_counts(spark, sf):
 
 
 def _corpus(spark, sf):
-    return T.with_corpus_words(D.documents(spark, sf).select("doc_id", "text"), "text")
+    """The word arrays from which n-grams are counted, kept as a table: every count is then a pass over words only."""
+
+    def build():
+        words = T.with_corpus_words(D.documents(spark, sf).select("doc_id", "text"), "text").drop("text")
+        return D.workspace(spark, sf).keep(words, "corpus")
+
+    return D.once(spark, sf, "corpus", build)
 
 
 @query
@@ -562,7 +568,7 @@ def separating_words(spark, sf):
     """The fifty words that separate the quality classes best, by chi-squared of TF-IDF weights (flagship query)."""
     docs = D.labelled(spark, sf)
     words = docs.select("doc_id", "label", T.corpus_tokens("text").alias("lemmas"))
-    words = words.withColumn("lemmas", T.drop_words("lemmas"))
+    words = D.workspace(spark, sf).keep(words.withColumn("lemmas", T.drop_words("lemmas")), "labelled_words")
     terms = Y.lemma_vocabulary(words, "lemmas", 20, 3).select("term")
     empty = terms.filter(F.lit(False))
     vocab = Y.term_union(terms, empty, empty)

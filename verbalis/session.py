@@ -40,6 +40,20 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+SPLIT_BYTES = 128 << 20
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in enough partitions to use all cores for work on its texts.
+
+    A table of few row groups is read by few tasks however long its texts take to process. Such a table is small enough
+    to be shuffled by its key; a table with more than one scan split per core is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(2 * cores, key) if size < cores * SPLIT_BYTES else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable: iterative learners cut their lineage with it."""
     if spark.sparkContext.getCheckpointDir() is None:
