@@ -30,7 +30,7 @@ def blobs(spark):
     x = F.array(*[F.get(centres, i) + 0.6 * n for i, n in enumerate(noise)])
     return df.select(
         F.col("id").alias("doc_id"), F.col("c").alias("label_index"), F.col("c").cast("string").alias("label"), array_to_vector(x).alias("features")
-    ).persist()
+    ).coalesce(1).persist()
 
 
 def _accuracy(df):

@@ -193,10 +193,9 @@ def dictionary_words(spark, sf):
 
 @query
 def proper_noun_words(spark, sf):
-    """Words accepted only as proper nouns: here the source names."""
-    lexicons = D.lexicons(spark, sf).with_tables(
-        proper_nouns=D.documents(spark, sf).select(F.col("source").alias("word")).union(spark.createDataFrame([("lorem",)], "word string")).distinct()
-    )
+    """Words accepted only as proper nouns: here the words of the benchmark items are the list of names."""
+    names = D.table(spark, sf, "benchmark").select(F.explode(T.corpus_tokens("text")).alias("word")).distinct()
+    lexicons = D.lexicons(spark, sf).with_tables(proper_nouns=names)
     profile = C.JunkProfile(allow_proper_nouns=True)
     words = _vocabulary_words(spark, sf)
     return C.good_words(words, lexicons, profile).join(C.good_words(words, lexicons), "word", "left_anti")
@@ -698,9 +697,9 @@ def rank_models(spark, sf):
 
 @query
 def passing_models(spark, sf):
-    """Models that reach a macro F1 of 0.2."""
-    table = _round(_summary(spark, sf), "f1_macro").withColumn("model_order", F.lit(0))
-    return M.rank_models(table, "f1_macro", 0.2).select("model", "f1_macro")
+    """Models that reach a balanced accuracy of 0.26, a little more than a constant guess has."""
+    table = _round(_summary(spark, sf), "f1_macro", "balanced_accuracy").withColumn("model_order", F.lit(0))
+    return M.rank_models(table, "balanced_accuracy", 0.26).select("model", "f1_macro")
 
 
 # ---- classifiers ------------------------------------------------------------------------------------------------
