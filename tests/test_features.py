@@ -158,6 +158,22 @@ def test_narrow_cleaner_equals_joins(spark, sf, profile):
     assert ours.exceptAll(phrases).count() == 0
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_cleaner_does_not_use_ids(spark, sf, joined):
+    """Records with the same id, no id or text ids keep their own lemmas, in both forms."""
+    cleaner = TextCleaner.build(D.lexicons(spark, sf), C.JunkProfile(are_dictionary=False))
+    if joined:
+        cleaner.with_facts(cleaner._facts_table, max_rows=1)
+    assert cleaner.joins == joined
+    texts = ["good men say", "bad feet", "", "good men say"]
+    for ids in ([7, 7, 7, 7], [None] * 4, ["a", "a", None, "b"], None):
+        kind = "doc_id string, text string" if ids and isinstance(ids[0], str) else "doc_id int, text string"
+        rows = spark.createDataFrame(list(zip(ids or [1] * 4, texts)), kind)
+        out = cleaner.transform(rows if ids else rows.drop("doc_id")).select("text", "lemmas").collect()
+        lemmas = {(r.text, tuple(r.lemmas)) for r in out}
+        assert len(out) == 4 and len(lemmas) == 3 and ("", ()) in lemmas
+
+
 @pytest.mark.parametrize("settings", [{}, {"term_value": "presence"}, {"use_L2_row_normalization": False, "feature_selection_metric": "F"}, {"use_meta_features": False, "use_eng_features_subjectivity": False, "feature_selection_metric": "mutual_info"}, {"ngram_source": "clean", "remove_sub_terms": True, "n_selected_features": 40}])
 def test_vector_stages_equal_the_long_tables(spark, sf, settings):
     """The saveable stages give the same numbers as the tables the scores were computed from."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from verbalis.learners import families as Fam
 from verbalis.learners.forest import leaf_of
 from verbalis.learners.margins import FourierFeatures, QuadraticSketch, quadratic_weights
-from verbalis.learners.nearest import KnnModel
+from verbalis.learners.nearest import KnnClassifier
 from verbalis.learners.voting import VotingModel
 from verbalis.operators import neighbours as Nb
 from verbalis.operators.sampling import stratified_folds
@@ -63,6 +63,14 @@ def test_two_classes(blobs, family):
     assert _accuracy(model.transform(two)) > 0.9
 
 
+def test_boosting_leaves_nothing_cached(spark, blobs):
+    held = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    noisy = blobs.withColumn("label_index", F.when(F.rand(1) < 0.3, (F.col("label_index") + 1) % 3).otherwise(F.col("label_index")))
+    before = held()
+    model = Fam.build("adaboost", TASK, {"trees": 12}).fit(noisy)
+    assert len(model.state["trees"]) == 12 and held() == before
+
+
 def test_searched_tree_settings_build_trees(blobs):
     for family in ("decision_tree", "random_forest", "extra_trees", "adaboost"):
         drawn = {"depth": 4, "max_features": 3, "min_split": 4, "min_leaf": 2, "trees": 3}
@@ -98,12 +106,23 @@ def test_neighbours_against_brute_force(spark):
         assert {r.query_id: [n["id"] for n in r.near] for r in near.collect()} == expected
 
 
-def test_knn_blocks_equal_the_local_form(blobs):
+@pytest.mark.parametrize("ids", ["cast(doc_id as string)", "concat('a-', doc_id)", "if(doc_id % 3 = 0, null, doc_id)", None])
+def test_knn_takes_any_id_or_none(blobs, ids):
     train, test = blobs.filter("doc_id >= 60"), blobs.filter("doc_id < 60")
-    model = Fam.build("knn", TASK).fit(train)
-    local = model.transform(test).select("doc_id", "prediction")
-    blocks = KnnModel().with_rows(model.training, bound=0).transform(test).select("doc_id", "prediction")
-    assert local.exceptAll(blocks).count() == 0 and blocks.count() == 60
+    change = lambda df: df.withColumn("doc_id", F.expr(ids)) if ids else df.drop("doc_id")
+    model = Fam.build("knn", TASK).fit(change(train))
+    out = model.transform(change(test))
+    assert out.count() == 60 and _accuracy(out) > 0.9
+    assert all(abs(sum(r.probability) - 1) < 1e-9 for r in out.collect())
+
+
+def test_knn_keeps_a_bounded_stratified_sample(blobs):
+    width = len(blobs.first().features)
+    model = KnnClassifier(maxValues=60 * width).fit(blobs)
+    labels, vectors = model._kept
+    assert 30 <= len(labels) <= 90 and vectors.shape[1] == width and set(labels) == set(range(TASK.classes))
+    out = model.transform(blobs)
+    assert _accuracy(out) > 0.9 and "probability" in out.columns
 
 
 def test_feature_maps_approximate_their_kernels():

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from verbalis.params import TrainingParams
 from verbalis.plans import data as D
-from verbalis.plans.automator import AutoTextClassifier, load_model, score
+from verbalis.plans.training import AutoTextClassifier, load_model, score
 from verbalis.plans.fixtures import workbook
 from verbalis.sources import tables
 from verbalis.sources.workbooks import sheet_rows

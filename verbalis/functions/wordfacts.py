@@ -10,6 +10,7 @@ from __future__ import annotations
 import unicodedata
 from dataclasses import asdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from verbalis.functions.lexicons import DEFAULT_TAG, STOP_WORDS, SUFFIX_TAGS
 from verbalis.operators.cleaning import JunkProfile
 
 FACT_ROWS = 2_000_000
+TAGS = "nvaro"
 
 FACTS = "lemmas array<string>, n bigint, v bigint, a bigint, r bigint, o bigint, polarity double, subjectivity double"
 
@@ -49,18 +51,25 @@ def facts_column(spark, facts: dict, profile: JunkProfile, stop_words=STOP_WORDS
     @F.pandas_udf(FACTS)
     def describe(words: pd.Series) -> pd.DataFrame:
         known, rules, stops = shared.value
-        rows = []
-        for record in words:
-            lemmas, tags, scores = [], dict.fromkeys("nvaro", 0), []
-            for word in record:
-                tag, keep, lemma, polarity, subjectivity = known.get(word) or _unknown(word, rules, stops)
-                tags[tag] += 1
-                if keep:
-                    lemmas.append(lemma)
-                if polarity is not None:
-                    scores.append((polarity, subjectivity))
-            count = len(scores) or 1
-            rows.append((lemmas, *tags.values(), sum(p for p, _ in scores) / count, sum(s for _, s in scores) / count))
-        return pd.DataFrame(rows, columns=["lemmas", *"nvaro", "polarity", "subjectivity"])
+        n, lengths = len(words), words.map(len).to_numpy()
+        record = np.repeat(np.arange(n), lengths)
+        flat = np.concatenate([np.empty(0, object), *words])
+        code, distinct = pd.factorize(flat)
+        # one look-up per different word of the batch; everything else is indexing
+        facts = [known.get(w) or _unknown(w, rules, stops) for w in distinct]
+        tag, keep, lemma, polarity, subjectivity = zip(*facts) if facts else ((),) * 5
+        tags = np.array([TAGS.index(t) for t in tag], dtype=int)[code]
+        counts = np.bincount(record * len(TAGS) + tags, minlength=n * len(TAGS)).reshape(n, len(TAGS))
+        kept = np.array(keep, dtype=bool)[code]
+        lemmas = np.array(lemma, dtype=object)[code][kept]
+        ends = np.cumsum(np.bincount(record[kept], minlength=n))
+        out = pd.DataFrame(counts, columns=[*TAGS])
+        out.insert(0, "lemmas", pd.Series([lemmas[a:b] for a, b in zip([0, *ends[:-1]], ends)], dtype=object))
+        known_score = np.array([p is not None for p in polarity], dtype=bool)[code]
+        of = np.maximum(np.bincount(record[known_score], minlength=n), 1)
+        for name, values in (("polarity", polarity), ("subjectivity", subjectivity)):
+            score = np.array([v or 0.0 for v in values], dtype=float)[code]
+            out[name] = np.bincount(record[known_score], score[known_score], n) / of
+        return out
 
     return describe

@@ -22,6 +22,7 @@ FAMILIES = (
     "logistic", "knn", "linear_svm", "poly_svm", "rbf_svm", "decision_tree", "random_forest", "extra_trees", "adaboost", "mlp",
 )
 NOT_SEARCHED = ("poly_svm", "rbf_svm")
+WITHOUT_SHARES = ("poly_svm", "rbf_svm")
 
 # Default settings of each family.
 DEFAULTS = {
@@ -36,7 +37,6 @@ DEFAULTS = {
     "adaboost": {"trees": 200, "depth": 2, "learning_rate": 0.5},
     "mlp": {"hidden": (32,), "max_iter": 200},
 }
-DEEP_HIDDEN = (150,) * 7  # the deep layout of the original settings; trains poorly with sigmoid units
 
 
 @dataclass(frozen=True)

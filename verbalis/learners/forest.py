@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbalis.learners.scored import HasClassColumns, ScoredModel, matrix, set_params
-from verbalis.session import ensure_checkpoint_dir
+from verbalis.session import Workspace
 
-SLOTS = 100_000  # (node, candidate) pairs counted in one pass
+SLOTS = 1_000_000  # (node, candidate, class) counts of one pass
 TINY = float(np.finfo(np.float64).eps)
 
 
@@ -38,6 +38,15 @@ def leaf_of(tree: dict, x: np.ndarray) -> np.ndarray:
         node[inner] = np.where(goes_left, left[at], right[at])
 
 
+def rows_of(leaf: np.ndarray, nodes: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, int]]:
+    """The rows in each of ``nodes`` (node, slot), with its slot; rows are sorted by leaf once."""
+    order = np.argsort(leaf, kind="stable")
+    wanted = [n for n, _ in nodes]
+    starts, ends = (np.searchsorted(leaf[order], wanted, side) for side in ("left", "right"))
+    for (_, at), start, end in zip(nodes, starts, ends):
+        yield order[start:end], at
+
+
 class ForestModel(ScoredModel):
     """Trees with class shares in their leaves, combined by mean share or by the SAMME.R score."""
 
@@ -98,8 +107,9 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
         open_nodes = [(t, 0) for t in range(len(trees))]
         for _ in range(get("maxDepth")):
             children = []
-            for start in range(0, len(open_nodes), max(1, SLOTS // wanted)):
-                part = open_nodes[start : start + max(1, SLOTS // wanted)]
+            step = max(1, SLOTS // (wanted * classes))
+            for start in range(0, len(open_nodes), step):
+                part = open_nodes[start : start + step]
                 children += self._split(rows, trees, part, rng, wanted, dims, classes)
             open_nodes = children
             if not open_nodes:
@@ -120,7 +130,9 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
         used = sorted({t for t, _ in may})
         shapes = {t: {k: trees[t][k] for k in ("feature", "threshold", "left", "right")} for t in used}
         slot = {key: i for i, key in enumerate(may)}
-        by_tree = {t: [(n, slot[(t, n)]) for tt, n in may if tt == t] for t in used}
+        by_tree = {t: [] for t in used}
+        for t, n in may:
+            by_tree[t].append((n, slot[(t, n)]))
         shared = rows.sparkSession.sparkContext.broadcast((shapes, by_tree, picks))
 
         def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,9 +141,8 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
             for batch in batches:
                 x = matrix(batch["x"])
                 for t, tree in shapes.items():
-                    leaf = leaf_of(tree, x)
-                    for node, at in by_tree[t]:
-                        inside = x[leaf == node][:, picks[at]]
+                    for here, at in rows_of(leaf_of(tree, x), by_tree[t]):
+                        inside = x[here][:, picks[at]]
                         if len(inside):
                             low[at] = np.minimum(low[at], inside.min(axis=0))
                             high[at] = np.maximum(high[at], inside.max(axis=0))
@@ -161,10 +172,8 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
             for batch in batches:
                 x, y = matrix(batch["x"]), batch["y"].to_numpy()
                 for t, tree in shapes.items():
-                    leaf = leaf_of(tree, x)
-                    for node, at in by_tree[t]:
-                        here = leaf == node
-                        if here.any():
+                    for here, at in rows_of(leaf_of(tree, x), by_tree[t]):
+                        if len(here):
                             goes = x[here][:, picks[at]] <= cuts[at]
                             hot = np.eye(classes)[y[here]]
                             left[at] += goes.T.astype(float) @ hot
@@ -228,7 +237,11 @@ def _read_tree(root, classes: int) -> dict:
 
 
 class BoostedTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParamsWritable):
-    """SAMME.R: MLlib trees on re-weighted records. Weights are cut from their lineage every few rounds."""
+    """SAMME.R: MLlib trees on re-weighted records.
+
+    Every few rounds the weighted records are written to the shared folder, which cuts their lineage; the table before
+    that and the cached records of the round before are released.
+    """
 
     rounds = Param(Params._dummy(), "rounds", "trees", TypeConverters.toInt)
     learningRate = Param(Params._dummy(), "learningRate", "learning rate", TypeConverters.toFloat)
@@ -258,12 +271,13 @@ class BoostedTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable,
 
     def _fit(self, dataset: DataFrame) -> ForestModel:
         get = lambda name: self.getOrDefault(getattr(self, name))
-        ensure_checkpoint_dir(dataset.sparkSession)
+        space = Workspace(dataset.sparkSession)
         data = dataset.select(
             F.col(self.col("featuresCol")).alias("features"),
             F.col(self.col("labelCol")).cast("double").alias("y"),
             F.lit(1.0).alias("w"),
         ).persist(StorageLevel.MEMORY_AND_DISK)
+        held, written = data, None
         classes = int(data.agg(F.max("y").alias("m")).first().m) + 1
         step = get("learningRate") * (classes - 1) / classes
         trees = []
@@ -280,11 +294,19 @@ class BoostedTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable,
             moved = moved.withColumn("w", F.col("w") * F.exp(-step * (true - rest / (classes - 1))))
             wrong = (F.col("prediction") != F.col("y")).cast("double")
             moved = moved.select("features", "y", "w", wrong.alias("wrong"))
-            moved = moved.checkpoint() if (round_ + 1) % get("checkpointEvery") == 0 else moved.persist(StorageLevel.MEMORY_AND_DISK)
+            last = written
+            if (round_ + 1) % get("checkpointEvery") == 0:
+                written = f"round_{round_}"
+                moved = space.keep(moved, written)
+            moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
             totals = moved.agg(F.avg("w").alias("w"), F.sum("wrong").alias("wrong")).first()
-            data.unpersist()
+            held.unpersist()
+            if last and last != written:
+                space.drop(last)
+            held = moved
             data = moved.select("features", "y", (F.col("w") / F.lit(totals.w)).alias("w"))
             if totals.wrong == 0:
                 break
-        data.unpersist()
+        held.unpersist()
+        space.drop()
         return ForestModel({"trees": trees, "classes": classes, "combine": "samme"})

@@ -27,52 +27,64 @@ from verbalis.operators import neighbours as Nb
 
 class _HasK(HasClassColumns):
     k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
+    maxValues = Param(Params._dummy(), "maxValues", "most vector values of kept training rows", TypeConverters.toInt)
 
 
 class KnnClassifier(Estimator, _HasK, DefaultParamsReadable, DefaultParamsWritable):
-    """Keeps the training rows; ids must be integers, for they break ties."""
+    """Keeps the training rows, at most ``maxValues`` numbers of them.
+
+    Of a larger table a stratified sample is kept: of every class the same share of rows, those whose hashed vector comes
+    first. Ties between neighbours are broken by a number that rows get at fit, in the order of their ids of whatever
+    type, or of their vectors if there is no id column.
+    """
 
     @keyword_only
-    def __init__(self, k=5):
+    def __init__(self, k=5, maxValues=Nb.BOUND):
         super().__init__()
         self._set_class_columns()
         set_params(self)
 
     def _fit(self, dataset: DataFrame) -> "KnnModel":
-        rows = self.rows(dataset, F.col(self.col("idCol")).cast("bigint").alias("id")).withColumnRenamed("y", "label")
+        id_col = self.col("idCol")
+        known = [F.col(id_col).alias("id")] if id_col in dataset.columns else []
+        rows = self.rows(dataset, *known)
+        size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
+        wanted = self.getOrDefault(self.maxValues) // max(1, size.d or 1)
+        if size.n > wanted:
+            place = F.pmod(F.xxhash64("x", *(["id"] if known else [])), F.lit(1 << 30))
+            rows = rows.filter(place < F.lit(int(wanted / size.n * (1 << 30))))
+        table = rows.toPandas()
+        if not known:
+            table["id"] = table["x"].map(tuple)
+        table = table.sort_values("id", kind="stable")
         model = KnnModel()
-        model._set(k=self.getOrDefault(self.k))
-        return model.with_rows(rows)
+        model._set(k=self.getOrDefault(self.k), **{p: self.col(p) for p in ("featuresCol", "predictionCol", "probabilityCol")})
+        return model.with_rows(table["y"].to_numpy(), [*table["x"]])
 
 
 class KnnModel(Model, _HasK, MLReadable, MLWritable):
-    """Narrow (and fit for streams) while the training rows are within the bound, by blocks beyond."""
+    """The kept rows are shipped to the tasks: scoring moves no row, needs no id and works on streams."""
 
     def __init__(self):
         super().__init__()
         self._set_class_columns()
         self._setDefault(k=5)
-        self.training = None
-        self._local = None
+        self._kept = None
 
-    def with_rows(self, training: DataFrame, bound: int = Nb.BOUND) -> "KnnModel":
-        self.training = training
-        size = training.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
-        if not size.n:
+    def with_rows(self, labels, vectors) -> "KnnModel":
+        if not len(labels):
             raise ValueError("no training rows")
-        self._local = Nb.local_training(training) if size.n * size.d <= bound else None
+        self._kept = np.asarray(labels, dtype=int), np.stack(vectors).astype(float)
         return self
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         prediction, probability = self.col("predictionCol"), self.col("probabilityCol")
-        if self._local is None:
-            return self._by_blocks(dataset, prediction)
-        shared = dataset.sparkSession.sparkContext.broadcast(self._local)
+        shared = dataset.sparkSession.sparkContext.broadcast(self._kept)
         k = self.getOrDefault(self.k)
 
         @F.pandas_udf("array<double>")
         def shares(x: pd.Series) -> pd.Series:
-            _, labels, train = shared.value
+            labels, train = shared.value
             classes, out = int(labels.max()) + 1, []
             for start in range(0, len(x), 512):
                 picks, _ = Nb.best_of(matrix(x.iloc[start : start + 512]), train, k)
@@ -87,15 +99,6 @@ class KnnModel(Model, _HasK, MLReadable, MLWritable):
             .drop("_shares")
         )
 
-    def _by_blocks(self, dataset: DataFrame, prediction: str) -> DataFrame:
-        id_col = self.col("idCol")
-        queries = dataset.select(
-            F.col(id_col).cast("bigint").alias("query_id"), vector_to_array(self.col("featuresCol")).alias("x")
-        )
-        near = Nb.neighbours(queries, self.training, self.getOrDefault(self.k), bound=0)
-        votes = Nb.majority(near, prediction).withColumn(prediction, F.col(prediction).cast("double"))
-        return dataset.join(votes.withColumnRenamed("query_id", id_col), id_col)
-
     def write(self):
         return _KnnWriter(self)
 
@@ -111,7 +114,10 @@ class _KnnWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.model, path, SparkSession.getActiveSession())
-        self.model.training.write.mode("overwrite").parquet(f"{path}/training")
+        labels, vectors = self.model._kept
+        rows = [(i, int(y), x.tolist()) for i, (y, x) in enumerate(zip(labels, vectors))]
+        table = SparkSession.getActiveSession().createDataFrame(rows, "number long, label int, x array<double>")
+        table.write.mode("overwrite").parquet(f"{path}/training")
 
 
 class _KnnReader(MLReader):
@@ -121,4 +127,5 @@ class _KnnReader(MLReader):
         model = KnnModel()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        return model.with_rows(spark.read.parquet(f"{path}/training"))
+        rows = spark.read.parquet(f"{path}/training").toPandas().sort_values("number")
+        return model.with_rows(rows["label"], [*rows["x"]])

@@ -6,20 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-SALTS = 64
+from verbalis.session import Workspace
+
+#: A side of a join is broadcast if it has at most so many rows and bytes as a Parquet table.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 128 << 20
 
 
 def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """A local copy of a table of at most ``max_rows`` rows and True, or the table itself and False.
+    """The table, kept in the shared folder, and whether it is small enough to be broadcast.
 
-    One bounded job both checks the size and computes the rows, so a small derived table is not computed again by the
-    plans that use it. Fetching stops one row past the bound.
+    It is computed once, by as many tasks as it has partitions; its size is then read from the files. Nothing of it
+    passes through one task or the driver, and plans that use it do not compute it again.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(rows, schema=df.schema), True
+    kept = Workspace(df.sparkSession).keep(df, "side")
+    size = int(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return kept, size <= BROADCAST_BYTES and kept.count() <= max_rows
 
 
 def lookup_join(
@@ -27,18 +28,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` with ``right``, which has one row per key.
 
-    A right side proven small is broadcast, so the left side does not move. Otherwise each right row is repeated once
-    per salt and the left rows of one key are spread over the salts, so that no task gets all rows of a hot key.
+    A right side proven small is broadcast, so the left side does not move. Otherwise both are shuffled by the key, and
+    adaptive execution splits the partitions of hot keys by their measured size: no other row is copied for them.
     ``small`` skips the check where the caller has a bound (a top-k table, a fixed list).
     """
     on = [on] if isinstance(on, str) else list(on)
     if small is None:
         right, small = settle(right)
-    if small:
-        return left.join(F.broadcast(right), on, how)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return left.join(F.broadcast(right) if small else right, on, how)
 
 
 def bucketed_rank(df: DataFrame, group: list[str], bucket: Column, order: list, out: str) -> DataFrame:

@@ -100,10 +100,15 @@ def _candidates(grams: DataFrame, words: DataFrame, keys: list[str], small: bool
     return grams
 
 
+def _total(docs: DataFrame, words_col: str):
+    """Number of words of all records, from the sizes of their arrays."""
+    return docs.select(F.sum(F.array_size(words_col)).cast("double").alias("t")).scalar()
+
+
 def bigram_scores(docs: DataFrame, good: DataFrame | None, min_count: int = 20, words_col: str = "words") -> DataFrame:
     """``w1, w2, n12, n1, n2, score`` of every bigram of good words that is frequent enough."""
     counts = word_counts(docs, words_col)
-    total = counts.select(F.sum("n").cast("double").alias("t")).scalar()
+    total = _total(docs, words_col)
     words, small = settle(_frequent(counts, good, min_count))
     pairs = (
         _candidates(ngram_table(docs, 2, words_col), words, ["w1", "w2"], small)
@@ -125,7 +130,7 @@ def _pair_counts(pairs: DataFrame, needed: DataFrame, keys: list[str], small: bo
 def trigram_scores(docs: DataFrame, good: DataFrame | None, min_count: int = 10, words_col: str = "words") -> DataFrame:
     """``w1, w2, w3``, all counts and the score of every trigram of good words that is frequent enough."""
     counts = word_counts(docs, words_col)
-    total = counts.select(F.sum("n").cast("double").alias("t")).scalar()
+    total = _total(docs, words_col)
     words, small = settle(_frequent(counts, good, min_count))
     grams = (
         _candidates(ngram_table(docs, 3, words_col), words, ["w1", "w2", "w3"], small)

@@ -91,6 +91,20 @@ def stratified_quotas(sizes: DataFrame, size: int | float, label_col: str = "lab
     return table.select(label_col, "n", (F.col("n") - train).cast("bigint").alias("n_test"))
 
 
+def require_splittable(df: DataFrame, size: int | float, kind: str = "stratified", label_col: str = "label") -> None:
+    """Raise if a stratified split is not possible: a class of one row, or a side with fewer rows than classes."""
+    if kind != "stratified":
+        return
+    quotas = stratified_quotas(class_sizes(df, label_col), size, label_col).agg(
+        F.count("*").alias("classes"), F.min("n").alias("least"), F.sum("n").alias("n"), F.sum("n_test").alias("test")
+    )
+    found = quotas.first()
+    if found.least < 2:
+        raise ValueError("a class has only one record: a stratified split needs two of each")
+    if min(found.test, found.n - found.test) < found.classes:
+        raise ValueError("a side of the split has fewer records than there are classes")
+
+
 def holdout_split(
     df: DataFrame,
     size: int | float = 0.2,

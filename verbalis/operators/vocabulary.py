@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.operators.lookup import bucketed_rank
+from verbalis.operators.lookup import bucketed_rank, lookup_join
 
 WHITE_SPACE = r"[\p{Z}\t\n\x0B\f\r\x1c-\x1f\x{85}]+"
 
@@ -25,17 +25,17 @@ def lemma_vocabulary(docs: DataFrame, lemmas_col: str = "lemmas", min_docs: int
 
 
 def drop_redundant_lemmas(lemmas: DataFrame, bigrams: DataFrame) -> DataFrame:
-    """Lemmas that are no part of a chosen bigram. The bigrams are a top-k table."""
+    """Lemmas that are no part of a chosen bigram."""
     parts = bigrams.select(F.explode(F.split("term", " ")).alias("term")).distinct()
-    return lemmas.join(F.broadcast(parts), "term", "left_anti")
+    return lookup_join(lemmas, parts, "term", "left_anti")
 
 
 def drop_redundant_bigrams(bigrams: DataFrame, trigrams: DataFrame) -> DataFrame:
-    """Bigrams that neither start nor end a chosen trigram. Both sides are top-k tables."""
+    """Bigrams that neither start nor end a chosen trigram."""
     words = F.split("term", " ")
     heads = trigrams.select(F.array_join(F.slice(words, 1, 2), " ").alias("term"))
     tails = trigrams.select(F.array_join(F.slice(words, 2, 2), " ").alias("term"))
-    return bigrams.join(F.broadcast(heads.union(tails).distinct()), "term", "left_anti")
+    return lookup_join(bigrams, heads.union(tails).distinct(), "term", "left_anti")
 
 
 def term_union(lemmas: DataFrame, bigrams: DataFrame, trigrams: DataFrame) -> DataFrame:

@@ -30,8 +30,15 @@ SHARES = ("model_selection_min_performance", "final_min_performance")
 
 @dataclass(frozen=True)
 class TrainingParams:
-    """Defaults are those of the original settings; a size is a count (int) or a share (float)."""
+    """Defaults are those of the original settings; a size is a count (int) or a share (float).
 
+    Two settings bound the labelled rows that a model is fitted on: ``number_of_records_to_include`` (a stratified sample
+    of the given records; the default share of 0.05 leaves out 95 of 100 rows, 1.0 takes all) and
+    ``model_selection_data_limit`` (rows on which families are compared). Nothing else leaves out rows.
+    ``include_ensemble_voters`` lets the tuned models also vote together in the evaluation.
+    """
+
+    # Names and defaults of the settings.
     feature_col_name: str = "text"
     label_col_name: str = "label"
     id_col_name: str = "doc_id"

@@ -17,6 +17,7 @@ from verbalis.functions.wordfacts import FACT_ROWS, collect_facts, facts_column
 from verbalis.operators import cleaning as C
 from verbalis.operators import rowstats as R
 from verbalis.operators.lookup import lookup_join
+from verbalis.session import Workspace
 
 OUTPUTS = ("lemmas", "gram_tokens", *R.ALL_FEATURES)
 
@@ -26,11 +27,12 @@ class TextCleaner(Transformer, MLReadable, MLWritable):
     streams.
 
     ``facts`` is the word table of ``operators.cleaning.word_facts`` over the lexicon words. If it is larger than the
-    broadcast bound, batch input is cleaned by joins over exploded tokens, grouped by ``idCol``.
+    broadcast bound, input is cleaned by joins over exploded tokens of records with generated keys (``joins`` is True
+    then); streams are scored batch by batch in that form (``streaming.scoring`` does). Ids are not used in either form.
     """
 
     textCol = Param(Params._dummy(), "textCol", "column with the raw text")
-    idCol = Param(Params._dummy(), "idCol", "column that identifies a record (used by the join form only)")
+    idCol = Param(Params._dummy(), "idCol", "column that identifies a record (not used)")
     profile = Param(Params._dummy(), "profile", "junk rules for lemmas")
     stopWords = Param(Params._dummy(), "stopWords", "stop words")
     gramSource = Param(Params._dummy(), "gramSource", "tokens in which collocations are counted: raw or clean")
@@ -62,6 +64,10 @@ class TextCleaner(Transformer, MLReadable, MLWritable):
             self._facts_table = table.sparkSession.createDataFrame([(w, *f) for w, f in facts.items()], schema)
         return self
 
+    @property
+    def joins(self) -> bool:
+        return self._facts is None
+
     def rules(self) -> C.JunkProfile:
         return C.JunkProfile(**self.getOrDefault(self.profile))
 
@@ -70,20 +76,23 @@ class TextCleaner(Transformer, MLReadable, MLWritable):
         if self._facts is not None:
             describe = facts_column(df.sparkSession, self._facts, self.rules(), stop_words)
             return df.withColumn("_facts", describe("_words"))
-        id_col = self.getOrDefault(self.idCol)
-        tokens = df.select(id_col, F.posexplode("_words").alias("pos", "word"))
+        if df.isStreaming:
+            raise ValueError("a lexicon beyond the bound needs batches: score the stream with foreachBatch")
+        # kept, so that keys are the same in both branches of the join whatever is computed again
+        df = Workspace(df.sparkSession).keep(df.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+        tokens = df.select("_key", F.posexplode("_words").alias("pos", "word"))
         joined = lookup_join(tokens, self._facts_table, "word", "left", small=False)
         tag = F.coalesce("tag", T.suffix_tag(F.col("word")))
         keep = F.coalesce("keep", C.junk_condition(self.rules(), F.lit(False), F.lit(False), stop_words))
         lemma = F.when(keep, F.struct(F.col("pos"), F.coalesce("lemma", "word").alias("lemma")))
-        grouped = joined.groupBy(id_col).agg(
+        grouped = joined.groupBy("_key").agg(
             F.transform(F.array_sort(F.collect_list(lemma)), lambda t: t["lemma"]).alias("lemmas"),
             *[F.count_if(tag == t).alias(t) for t in "nvaro"],
             F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("polarity"),
             F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("subjectivity"),
         )
-        facts = grouped.select(id_col, F.struct(*[c for c in grouped.columns if c != id_col]).alias("_facts"))
-        return df.join(facts, id_col, "left")
+        facts = grouped.select("_key", F.struct(*[c for c in grouped.columns if c != "_key"]).alias("_facts"))
+        return df.join(facts, "_key", "left").drop("_key")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         text = self.getOrDefault(self.textCol)

@@ -32,6 +32,7 @@ from verbalis.plans.cleaner import TextCleaner
 from verbalis.session import Workspace
 
 KINDS = ("lemma", "bigram", "trigram")
+#: A model holds its terms: most terms of a vocabulary, tested as soon as it is built.
 VOCABULARY_BOUND = 2_000_000
 
 
@@ -91,8 +92,6 @@ class FeatureModel:
     def stages(self) -> list:
         """MLlib stages from the cleaner's columns to ``features``: narrow, persistable, usable on streams."""
         p = self.params
-        if self.counts["term_count"] > VOCABULARY_BOUND:
-            raise ValueError("the vocabulary does not fit a model; raise the frequency requirements")
         binary = p.term_value == "presence"
         terms = [(r.term, r.kind) for r in self.vocab.orderBy("term_id").toLocalIterator()]
         stages, parts = [], []
@@ -145,11 +144,18 @@ def feature_catalog(vocab: DataFrame, names: list[str], n_terms: int) -> DataFra
     return vocab.select("term_id", F.col("term").alias("name")).unionByName(stats)
 
 
-def term_values(cleaned: DataFrame, vocab: DataFrame, n_docs: int, params: TrainingParams, keep=("doc_id", "label")):
-    """Long table of term values as the settings ask for them, and the IDF table."""
+def term_values(cleaned: DataFrame, vocab: DataFrame, n_docs: int, params: TrainingParams, keep=("doc_id", "label"), space: Workspace | None = None):
+    """Long table of term values as the settings ask for them, and the IDF table.
+
+    Both need the term counts; with ``space`` these and the IDF are kept, so that texts are counted once.
+    """
     presence = params.term_value == "presence"
     counts = V.term_counts(cleaned, vocab, keep=keep, presence=presence)
+    if space:
+        counts = space.keep(counts, "term_counts")
     idf = V.inverse_document_frequency(counts, vocab, n_docs)
+    if space:
+        idf = space.keep(idf, "idf")
     if presence or not params.use_tfidf_scaling:
         return counts.select(*keep, "term_id", F.col("tf").cast("double").alias("value")), idf
     values = V.tfidf(counts, idf)
@@ -171,12 +177,13 @@ def fit_features(cleaned: DataFrame, lexicons: Lexicons, params: TrainingParams,
     """Learn the features from cleaned training records (``doc_id, label`` and the cleaner's columns)."""
     vocab = build_vocabulary(cleaned, lexicons, params, space)
     n_terms, n_docs = vocab.count(), cleaned.count()
+    if n_terms > VOCABULARY_BOUND:
+        raise ValueError("the vocabulary does not fit a model; raise the frequency requirements")
     names = R.feature_names(params.use_meta_features, params.use_eng_features_subjectivity)
     if n_terms + len(names) == 0:
         raise ValueError("no features: the vocabulary is empty and the record statistics are switched off")
 
-    values, idf = term_values(cleaned, vocab, n_docs, params)
-    idf = space.keep(idf, "idf")
+    values, idf = term_values(cleaned, vocab, n_docs, params, space=space)
     bounds: dict[str, tuple[float, float]] = {}
     if names:
         long = V.long_stats(cleaned.select("doc_id", "label", *names), names, ("doc_id", "label"))
@@ -187,11 +194,14 @@ def fit_features(cleaned: DataFrame, lexicons: Lexicons, params: TrainingParams,
         )
         values = V.append_stats(values, V.minmax_scale(long, table), names, n_terms)
     values = space.keep(values, "values")
+    space.drop("term_counts")
     catalog = feature_catalog(vocab, names, n_terms)
     scores = feature_scores(values, class_sizes(cleaned), params.feature_selection_metric, n_terms)
     k = selection_size(n_terms + len(names), params.n_selected_features)
     selected = space.keep(S.select_k_best(scores, catalog, k), "selected")
-    counts = {"term_count": n_terms, "features_count": n_terms + len(names), "selected_features_count": k}
+    words = cleaned.agg(F.sum(F.array_size("corpus_words")).alias("n")).first().n or 0
+    sizes = Y.corpus_counts(words, vocab).first().asDict()
+    counts = {**sizes, "term_count": n_terms, "features_count": n_terms + len(names), "selected_features_count": k}
     return FeatureModel(vocab, idf, names, bounds, selected, params, counts)
 
 

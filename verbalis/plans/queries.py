@@ -28,7 +28,7 @@ from verbalis.plans import data as D
 from verbalis.plans import features as Fe
 from verbalis.plans import fixtures
 from verbalis.plans import search as Se
-from verbalis.plans.automator import AutoTextClassifier, load_model, score
+from verbalis.plans.training import AutoTextClassifier, load_model, score
 from verbalis.sources import tables
 from verbalis.sources.workbooks import parse_workbooks
 from verbalis.streaming.scoring import read_text_stream, score_stream

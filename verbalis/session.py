@@ -54,12 +54,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(2 * cores, key) if size < cores * SPLIT_BYTES else df
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable: iterative learners cut their lineage with it."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
-
-
 class Workspace:
     """Parquet tables of one run in the shared folder.
 
@@ -76,8 +70,14 @@ class Workspace:
         df.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
-    def drop(self) -> None:
-        """Delete the tables of this run."""
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def drop(self, name: str | None = None) -> None:
+        """Delete one table of this run, or all of them."""
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         fs.delete(hadoop_path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()

@@ -41,6 +41,22 @@ def _column(reference: str) -> int:
     return number - 1
 
 
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    """The part of the first sheet in the order of the workbook, or the lowest numbered one if the order is not given."""
+    names = set(book.namelist())
+    if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= names:
+        links = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+        for node in ElementTree.fromstring(book.read("xl/workbook.xml")).iter():
+            if _local(node.tag) == "sheet":
+                link = next((v for k, v in node.attrib.items() if _local(k) == "id"), None)
+                target = links.get(link, "")
+                part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+                if part in names:
+                    return part
+    sheets = [n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)]
+    return min(sheets, key=lambda n: int(re.sub(r"\D", "", n)))
+
+
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Rows of the first sheet as strings, read as a stream."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
@@ -52,8 +68,7 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
                     if _local(node.tag) == "si":
                         shared.append(_text(node))
                         node.clear()
-        sheet = min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
-        with book.open(sheet) as part:
+        with book.open(_first_sheet(book)) as part:
             for _, node in ElementTree.iterparse(part):
                 if _local(node.tag) != "row":
                     continue
