@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import SPACE_RUN, ascii_lower, forget, small_batches, whole_text
+from verbalis.llm.common import SPACE_RUN, folded, small_batches, whole_text
 from verbalis.llm.components import components
 from verbalis.llm.texthash import U, mix, nth, shingles_of, words_of
 from verbalis.session import Workspace
@@ -83,8 +83,8 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def plain_words(text: str | Column) -> Column:
-    """The words of a text, A-Z lower-cased, with one space between them."""
-    return F.btrim(F.regexp_replace(ascii_lower(whole_text(text)), SPACE_RUN, " "))
+    """The words of a text with one space between them."""
+    return F.trim(F.regexp_replace(whole_text(text), SPACE_RUN, " "))
 
 
 def _sketch(shingle: int, bands: int, rows: int):
@@ -230,7 +230,7 @@ def near_copies(
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("doc_id"), plain_words(text_col).alias("words"))
-    given = given.withColumn("print", F.md5("words"))
+    given = given.withColumn("print", F.md5(folded(F.col("words"))))
     sketched = given.mapInArrow(_sketch(shingle, bands, rows), f"doc_id {id_type}, print string, keys array<long>")
     sketched = space.keep(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
     texts = sketched.groupBy("print").agg(
@@ -252,7 +252,7 @@ def near_copies(
         if pairs.isEmpty():
             break
         search.verified(pairs, str(turn))
-    forget(space, "words")
+    space.drop("words")
     named = texts.join(search.groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = named.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     named = named.join(classes, "component").select("print", "class_id", "class_size")

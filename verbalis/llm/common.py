@@ -14,7 +14,6 @@ from verbalis.session import Workspace
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD_RUN = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def whole_text(text: str | Column) -> Column:
@@ -22,9 +21,25 @@ def whole_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z lower-cased, every other character as it is."""
-    return F.translate(text, UPPER, LOWER)
+def folded(text: Column) -> Column:
+    """A key for comparing texts without the case of A-Z: equal for two texts only if they differ in nothing else.
+
+    ``translate`` takes many times as long. Texts beyond ASCII are lower-cased as the characters of their single bytes.
+    That turns A-Z to a-z, and lead bytes of two-byte characters to those of longer ones; since the bytes that follow
+    still tell how long a character was, different texts stay different.
+    """
+    one_byte_each = F.octet_length(text) == F.length(text)
+    return F.when(one_byte_each, F.lower(text)).otherwise(F.lower(F.decode(text.cast("binary"), "ISO-8859-1")))
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one value, so that no name of theirs can clash; ``columns_of`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
+def columns_of(df: DataFrame, leave_out: set[str] = frozenset()) -> list[Column]:
+    """The columns of ``df`` from a ``_row`` made of it."""
+    return [F.col("_row").getField(c).alias(c) for c in df.columns if c not in leave_out]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +70,3 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) ->
             total += size
         if at < batch.num_rows:
             yield batch.slice(at)
-
-
-def forget(space: Workspace, name: str) -> None:
-    """Delete one kept table that nothing reads any more."""
-    spark = space.spark
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{space.path}/{name}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

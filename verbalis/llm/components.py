@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import forget
 from verbalis.session import Workspace
 
 
@@ -33,7 +32,7 @@ def components(links: DataFrame, space: Workspace, name: str) -> DataFrame:
         table = space.keep(now, f"{name}_{turn}")
         mark = table.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if kept is not None:
-            forget(space, kept)
+            space.drop(kept)
         kept = f"{name}_{turn}"
         if mark == seen or not mark[0]:
             break

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from verbalis.llm.common import SPACE_RUN, whole_text
+from verbalis.llm.common import SPACE_RUN, columns_of, whole_row, whole_text
 from verbalis.session import Workspace
 
 
@@ -73,14 +73,10 @@ def without_copies(docs: DataFrame, space: Workspace, id_col: str = "doc_id", te
 
     Of rows that repeat both id and text, one stays: the first by the hash of all its columns.
     """
-    names = docs.columns
     stay = exact_copies(docs.select(id_col, text_col), space, id_col, text_col).filter("kept")
-    stay = stay.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    tagged = docs.withColumn("_sha", F.sha2(normalised(text_col), 256))
-    left = tagged.alias("d").join(
-        stay.alias("s"),
-        (F.col("d._sha") == F.col("s._sha")) & F.col(f"d.{id_col}").eqNullSafe(F.col("s._id")),
-        "left_semi",
-    )
-    order = Window.partitionBy("_sha", id_col).orderBy(F.xxhash64(*names))
-    return left.withColumn("_at", F.row_number().over(order)).filter("_at = 1").select(names)
+    stay = stay.select(F.col(id_col).alias("_stay"), F.col("text_sha256").alias("_key")).distinct()
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("_id"), F.sha2(normalised(text_col), 256).alias("_sha"))
+    same = (F.col("_sha") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_stay"))
+    order = Window.partitionBy("_sha", "_id").orderBy(F.xxhash64("_row"))
+    left = rows.join(stay, same, "left_semi").withColumn("_at", F.row_number().over(order))
+    return left.filter("_at = 1").select(*columns_of(docs))

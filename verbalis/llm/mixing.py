@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from verbalis.llm.common import WORD_RUN, whole_text
+from verbalis.llm.common import WORD_RUN, columns_of, whole_row, whole_text
 from verbalis.session import Workspace
 
 #: Sources and patterns are settings of a mix, not data; more of them raise an error instead of filling the driver.
@@ -223,16 +223,22 @@ def solve_mix(
     return Mix(docs.sparkSession.createDataFrame(cuts.toArrow()), names, own, targets, flows, seed)
 
 
-def times_taken(docs: DataFrame, mix: Mix, membership: Column, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``_times``, how often the mix takes each of them. One narrow pass: patterns are few (checked)."""
-    pattern = F.array_sort(F.array_distinct(membership))
-    tagged = docs.withColumn("_pattern", pattern)
-    joined = tagged.join(F.broadcast(mix.cuts), tagged["_pattern"].eqNullSafe(mix.cuts["pattern"]), "left")
-    place = draw(mix.seed, id_col)
-    inside, swapped = F.coalesce(place <= F.col("cut"), F.lit(False)), F.coalesce(place == F.col("swap"), F.lit(False))
+def _taken(docs: DataFrame, mix: Mix, membership: Column, id_col: str) -> DataFrame:
+    """``_row`` and ``_times``, how often the mix takes it. One narrow pass: patterns are few (checked)."""
+    place = draw(mix.seed, id_col).alias("_place")
+    rows = docs.select(whole_row(docs), F.array_sort(F.array_distinct(membership)).alias("_pattern"), place)
+    joined = rows.join(F.broadcast(mix.cuts), rows["_pattern"].eqNullSafe(mix.cuts["pattern"]), "left")
+    inside = F.coalesce(F.col("_place") <= F.col("cut"), F.lit(False))
+    swapped = F.coalesce(F.col("_place") == F.col("swap"), F.lit(False))
     more = F.when(inside != swapped, 1).otherwise(0)
-    times = (F.coalesce("rounds", F.lit(0)) + more).cast("long").alias("_times")
-    return joined.select(*docs.columns, times)
+    return joined.select("_row", (F.coalesce("rounds", F.lit(0)) + more).cast("long").alias("_times"))
+
+
+def times_taken(
+    docs: DataFrame, mix: Mix, membership: Column, id_col: str = "doc_id", name: str = "times_taken"
+) -> DataFrame:
+    """``docs`` with a column ``name`` (it replaces one of that name), how often the mix takes each row."""
+    return _taken(docs, mix, membership, id_col).select(*columns_of(docs, {name}), F.col("_times").alias(name))
 
 
 def mixed(docs: DataFrame, space: Workspace, source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
@@ -242,6 +248,6 @@ def mixed(docs: DataFrame, space: Workspace, source_col: str = "source", text_co
     """
     member = F.array(source_col)
     mix = solve_mix(docs, space, member, words_in(text_col), **options)
-    taken = times_taken(docs, mix, member, options.get("id_col", "doc_id"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")
-    return taken.filter("_times > 0").select(*docs.columns, copies).drop("_copy")
+    taken = _taken(docs, mix, member, options.get("id_col", "doc_id")).filter("_times > 0")
+    copies = taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    return copies.select(*columns_of(docs))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from verbalis.llm.common import SPACE_RUN, ascii_lower, whole_text
+from verbalis.llm.common import SPACE_RUN, folded, whole_text
 from verbalis.session import Workspace
 
 #: Quote marks at the start of a line: one level for each.
@@ -18,7 +17,7 @@ SPAN = 1024
 
 
 def _plain(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(ascii_lower(text), SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
 
 
 def parsed(text: str | Column) -> Column:
@@ -100,7 +99,7 @@ def quote_parents(messages: DataFrame) -> DataFrame:
     lowest quote level that was found anywhere, the turn with most characters wins, then the latest.
     """
     units = messages.select("conv", "turn", F.explode(passages(F.col("lines"))).alias("u"))
-    units = units.select("conv", "turn", "u.level", F.unhex(F.md5("u.text")).alias("hash"), F.length("u.text").alias("chars"))
+    units = units.select("conv", "turn", "u.level", F.unhex(F.md5(folded(F.col("u.text")))).alias("hash"), F.length("u.text").alias("chars"))
     units = units.withColumn("source", F.when(F.col("level") == 0, F.col("turn")))
     found = latest(units, ["conv", "hash"], "turn", "source", "parent", own=False)
     votes = found.filter("level > 0 and parent is not null").groupBy("conv", "turn", "level", "parent")
