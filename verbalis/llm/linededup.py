@@ -2,46 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from verbalis.llm.common import SPACES, ascii_lower, whole_text
+from verbalis.llm.common import SPACES, columns_of, folded, whole_row, whole_text
 from verbalis.session import Workspace
 
 #: Every hash is dealt over so many sort groups by document, so a line of very many documents is not one task's work.
 SALTS = 128
 
 
-def line_key(line: Column) -> Column:
-    """The line without white space at its ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(SPACES)))
+def stripped(line: Column) -> Column:
+    """The line without white space at its ends. Most lines have none and are not copied."""
+    white = (F.ascii(line) <= 32) | (F.ascii(F.substring(line, -1, 1)) <= 32)
+    return F.when(white, F.btrim(line, F.lit(SPACES))).otherwise(line)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """``_id, _text, _pos, _hash``: every line of at least ``min_chars`` characters, ``_text`` being its text's hash."""
     text = whole_text(text_col)
-    return docs.select(
-        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_row"), F.split(text, "\n", -1).alias("_lines")
-    )
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text"), F.split(text, "\n", -1).alias("_lines"))
+    # outer, since an inner one would split every text once more to see whether it has lines
+    lines = rows.select("_id", "_text", F.posexplode_outer("_lines").alias("_pos", "_line"))
+    lines = lines.filter(F.length("_line") >= min_chars).withColumn("_line", stripped(F.col("_line")))
+    long = lines.filter(F.length("_line") >= min_chars)
+    return long.select("_id", "_text", "_pos", F.unhex(F.md5(folded(F.col("_line")))).alias("_hash"))
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int, partitions: int) -> DataFrame:
-    """Lines long enough to be dropped, in order of hash, document (largest first) and position.
+def occurrences(keys: DataFrame, partitions: int) -> DataFrame:
+    """``line_keys`` range-partitioned by hash, and in order of document (largest first) and position.
 
     ``_first`` marks the first occurrence of a hash in a document, found as the sorted rows stream by.
     """
-    keyed = _lines(docs, id_col, text_col).select("_id", "_row", F.posexplode("_lines").alias("_pos", "_line"))
-    keyed = keyed.withColumn("_line", line_key(F.col("_line"))).filter(F.length("_line") >= min_chars)
-    hashed = keyed.select(F.unhex(F.md5("_line")).alias("_hash"), "_id", "_row", "_pos")
-    document = F.when(F.col("_id").isNull(), F.col("_row")).otherwise(F.xxhash64("_id"))
-    hashed = hashed.withColumn("_salt", F.pmod(document, F.lit(SALTS)))
-    ranged = hashed.repartitionByRange(partitions, "_hash", "_salt")
-    order = Window.partitionBy("_hash", "_salt").orderBy(F.col("_id").desc(), "_row", "_pos")
+    document = F.when(F.col("_id").isNull(), F.col("_text")).otherwise(F.xxhash64("_id"))
+    salted = keys.withColumn("_salt", F.pmod(document, F.lit(SALTS)))
+    ranged = salted.repartitionByRange(partitions, "_hash", "_salt")
+    order = Window.partitionBy("_hash", "_salt").orderBy(F.col("_id").desc(), "_text", "_pos")
     same = F.lag("_id").over(order).eqNullSafe(F.col("_id")) & (
-        F.col("_id").isNotNull() | F.lag("_row").over(order).eqNullSafe(F.col("_row"))
+        F.col("_id").isNotNull() | F.lag("_text").over(order).eqNullSafe(F.col("_text"))
     )
-    first = (F.row_number().over(order) == 1) | ~same
-    return ranged.withColumn("_first", first)
+    return ranged.withColumn("_first", (F.row_number().over(order) == 1) | ~same)
 
 
 def line_bitmaps(
@@ -52,33 +52,43 @@ def line_bitmaps(
     min_chars: int = 40,
     min_docs: int = 5,
 ) -> DataFrame:
-    """Documents that lose lines: ``_id, _row, dropped`` (sorted positions), ``_row`` being the text's hash.
+    """Documents that lose lines: ``_id, _hash, dropped`` (sorted positions), ``_hash`` being that of the text.
 
     Keys of at least ``min_chars`` code points in at least ``min_docs`` documents lose all their lines except in the
     largest id that holds them.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = space.keep(occurrences(docs, id_col, text_col, min_chars, partitions), "line_hashes")
+    # kept, since a range partitioning reads its input twice
+    keys = space.keep(line_keys(docs, id_col, text_col, min_chars), "line_keys")
+    found = space.keep(occurrences(keys, partitions), "line_hashes")
+    space.drop("line_keys")
     counts = found.groupBy("_hash").agg(
         F.sum(F.col("_first").cast("long")).alias("_docs"), F.max("_id").alias("_last")
     )
     repeated = counts.filter(F.col("_docs") >= min_docs).select("_hash", "_last")
     lost = found.join(repeated, "_hash").filter(~F.col("_id").eqNullSafe(F.col("_last")))
-    return lost.groupBy("_id", "_row").agg(F.sort_array(F.collect_set("_pos")).alias("dropped"))
+    return lost.groupBy("_id", F.col("_text").alias("_hash")).agg(F.sort_array(F.collect_set("_pos")).alias("dropped"))
+
+
+def with_value(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often a function of array elements in it reads it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _runs(dropped: Column, n_lines: Column) -> Column:
     """The keep bitmap, compressed: (start, length) of every run of kept lines."""
     ends = F.concat(F.array(F.lit(-1)), F.coalesce(dropped, F.array().cast("array<int>")), F.array(n_lines))
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(ends) - 1),
-        lambda i: F.struct(
-            (F.element_at(ends, i) + 1).alias("start"),
-            (F.element_at(ends, i + 1) - F.element_at(ends, i) - 1).alias("length"),
-        ),
-    )
-    return F.filter(pairs, lambda r: r["length"] > 0)
+
+    def between(ends: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(ends) - 2),
+            lambda i: F.struct(
+                (F.get(ends, i) + 1).alias("start"), (F.get(ends, i + 1) - F.get(ends, i) - 1).alias("length")
+            ),
+        )
+
+    return F.filter(with_value(ends, between), lambda r: r["length"] > 0)
 
 
 def dedup_lines(
@@ -94,30 +104,26 @@ def dedup_lines(
     Lines end at ``\\n``; null or empty text is one empty line. Rows that repeat an id are one
     document and keep or lose their lines together; a null id is smaller than any other, and each text without an id is
     a document. A document may lose all its lines:
-    ``keep_runs`` is then empty. Input columns must not be called like the three added ones or start with ``_``: such
-    columns are left out of the result. Empty tables give an empty result.
+    ``keep_runs`` is then empty. Input columns that are called like the three added ones are left out of the result.
+    Empty tables give an empty result.
     """
     bitmaps = line_bitmaps(docs, space, id_col, text_col, min_chars, min_docs)
-    added = {"n_lines", "n_dropped", "keep_runs"}
-    names = [c for c in docs.columns if c not in added and not c.startswith("_")]
-    text = whole_text(text_col)
-    rows = docs.select(*names, F.xxhash64(text).alias("_row"), F.col(id_col).alias("_id"))
-    joined = rows.alias("d").join(
-        bitmaps.alias("b"),
-        (F.col("d._row") == F.col("b._row")) & F.col("d._id").eqNullSafe(F.col("b._id")),
-        "left",
-    )
-    n_lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
-    out = joined.select(*[F.col(f"d.{c}").alias(c) for c in names], F.col("b.dropped").alias("_dropped"))
-    return out.select(
-        *names,
+    bitmaps = bitmaps.select(F.col("_id").alias("_of"), F.col("_hash").alias("_at"), "dropped")
+    rows = docs.select(whole_row(docs), F.xxhash64(whole_text(text_col)).alias("_hash"), F.col(id_col).alias("_id"))
+    same = (F.col("_hash") == F.col("_at")) & F.col("_id").eqNullSafe(F.col("_of"))
+    text = whole_text(F.col("_row").getField(text_col))
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    return rows.join(bitmaps, same, "left").select(
+        *columns_of(docs, {"n_lines", "n_dropped", "keep_runs"}),
         n_lines.cast("long").alias("n_lines"),
-        F.coalesce(F.array_size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        _runs(F.col("_dropped"), n_lines).alias("keep_runs"),
+        F.coalesce(F.array_size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        _runs(F.col("dropped"), n_lines).alias("keep_runs"),
     )
 
 
 def kept_text(text: Column, runs: Column) -> Column:
     """The lines of the runs, joined by ``\\n``."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    return F.array_join(F.flatten(F.transform(runs, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    def joined(lines: Column) -> Column:
+        return F.array_join(F.flatten(F.transform(runs, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+
+    return with_value(F.split(F.coalesce(text, F.lit("")), "\n", -1), joined)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbalis.llm import bagminhash, embeddings, exact, linededup, mixing, packing, ppm, quality, quoting, warc
-from verbalis.llm.common import space_of, table
+from verbalis.llm.common import space_of, table, whole_text
 
 #: Tokens of a packed sequence, the tokenizer of its ids, and the id behind every document.
 SEQUENCE, TOKENIZER, END_ID = 2048, "byte_bpe_50k.json", 0
@@ -44,7 +44,9 @@ def op5_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), space_of(spark))
-    kept = linededup.kept_text(F.col("text"), F.col("keep_runs"))
+    kept = F.when(F.col("n_dropped") == 0, whole_text("text")).otherwise(
+        linededup.kept_text(F.col("text"), F.col("keep_runs"))
+    )
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
 
 
@@ -61,7 +63,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(s, n, t) for s, n, t in zip(mix.sources, mix.sizes, mix.targets)]
     sources = spark.createDataFrame(rows, "name string, source_size long, target double")
     joined = taken.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("name")))
-    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("_times")).alias("taken"))
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times_taken")).alias("taken"))
 
 
 def op9_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
