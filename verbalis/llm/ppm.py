@@ -19,7 +19,7 @@ from verbalis.session import Workspace
 BEFORE, END = 0xFF, 0xFE
 ALPHABET = 257
 ORDER = 5
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 40 << 20
 CHUNK = 1 << 20
 DOCS, GRAMS, WORDS = 0, 1, 2
 
@@ -36,7 +36,7 @@ def gram_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Counts:
-    """Sorted keys with their counts; additions are merged from time to time."""
+    """Sorted keys with their counts; additions are merged whenever they have grown as large as what is there."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -46,7 +46,7 @@ class _Counts:
         found, n = np.unique(keys, return_counts=True)
         self.parts.append((found, n if counted else np.zeros(len(found), np.int64)))
         self.waiting += len(found)
-        if self.waiting > 1 << 22:
+        if self.waiting > max(1 << 19, len(self.parts[0][0])):
             self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
@@ -79,21 +79,23 @@ def _blocks(order: int, block_bytes: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of texts: a row with the texts themselves, one per distinct gram and one per distinct word."""
+        pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between tasks
         block = TaskContext.get().partitionId() << 32
-        grams, words, kept, size = _Counts(), _Counts(), [], 0
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        grams, words, out, size = _Counts(), _Counts(), None, 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="zstd")
-            with pa.ipc.new_stream(sink, kept[0].schema, options=options) as out:
-                for batch in kept:
-                    out.write_batch(batch)
+            out.close()
             one = [pa.array([block]), pa.array([DOCS], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
             yield pa.RecordBatch.from_arrays([*one, pa.array([sink.getvalue().to_pybytes()])], schema=schema)
             yield from rows(block, GRAMS, *grams.merged())
             yield from rows(block, WORDS, *words.merged())
 
         for batch in small_batches(batches, "text", CHUNK):
+            if out is None:
+                sink = pa.BufferOutputStream()
+                out = pa.ipc.new_stream(sink, batch.schema, options=options)
+            out.write_batch(batch)
             texts = _lowered(batch)
             learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)
             for part in (True, False):
@@ -101,12 +103,11 @@ def _blocks(order: int, block_bytes: int):
                 if some:
                     grams.add(gram_keys(some, order)[0], part)
                     words.add(words_of(some).hash, part)
-            kept.append(batch)
             size += sum(map(len, texts))
             if size >= block_bytes:
                 yield from flushed()
-                block, grams, words, kept, size = block + 1, _Counts(), _Counts(), [], 0
-        if kept:
+                block, grams, words, out, size = block + 1, _Counts(), _Counts(), None, 0
+        if out is not None:
             yield from flushed()
 
     return cut
@@ -202,6 +203,7 @@ class _Lookup:
 def _score_block(order: int):
     def score(key: tuple[pa.Scalar, ...], docs: pa.Table, values: pa.Table) -> pa.Table:
         """Scores of one block's texts from the values of its grams and words."""
+        pa.set_memory_pool(pa.system_memory_pool())
         kind = values.column("kind").to_numpy()
         number = values.column("key").to_numpy().view(U)
         value = values.column("value").to_numpy()
