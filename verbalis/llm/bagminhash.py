@@ -163,8 +163,7 @@ class _Search:
     def open_members(self) -> DataFrame:
         """Members of buckets that hold more than one component: bucket, node, component."""
         group = F.coalesce("component", "node").alias("component")
-        members = self.members.join(self.shared, "bucket").select("bucket", "node")
-        named = members.join(self.groups, "node", "left").select("bucket", "node", group)
+        named = self.crowded.select("bucket", "node").join(self.groups, "node", "left").select("bucket", "node", group)
         parted = named.groupBy("bucket").agg(
             F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
         )
@@ -173,9 +172,9 @@ class _Search:
     def first(self) -> DataFrame:
         """Every member with the smallest one of its bucket: the copies of one text mostly share that centre."""
         found = self.members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
-        found = self.space.keep(found.filter("n > 1"), "buckets")
-        self.shared = found.select("bucket")
-        pairs = self.members.join(found, "bucket").filter("node <> centre")
+        # most buckets have one member; what follows reads only those with more
+        self.crowded = self.space.keep(self.members.join(found.filter("n > 1"), "bucket"), "crowded")
+        pairs = self.crowded.filter("node <> centre")
         return pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
 
     def second(self) -> DataFrame:
@@ -241,7 +240,7 @@ def near_copies(
     nodes = space.keep(nodes.select(F.col("row").alias("node"), "print", "doc_id", "keys"), "nodes")
     search = _Search(nodes, given, space, shingle, similarity)
     pairs = space.keep(search.first(), "pairs_1")
-    paired = search.members.join(search.shared, "bucket", "left_semi").select("node").distinct()
+    paired = search.crowded.select("node").distinct()
     wanted = nodes.select("node", "print", "doc_id").join(paired, "node", "left_semi")
     words = given.join(wanted.withColumnRenamed("doc_id", "id"), "print")
     words = words.filter(F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "words")
