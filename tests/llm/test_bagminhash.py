@@ -61,6 +61,18 @@ def test_signatures_do_not_depend_on_neighbours():
     assert np.isinf(together[3]).all()
 
 
+def test_signatures_do_not_depend_on_the_size_of_the_batch():
+    rng = np.random.default_rng(2)
+    lengths = [30, 300, 7, 2500, *rng.integers(5, 4000, 120)]
+    texts = [" ".join(map(str, rng.integers(0, 500, n))).encode() for n in lengths]
+    found = shingles_of(words_of(texts), len(texts), 5)
+    assert len(found[0]) > 200_000
+    together = B.signatures(*found, len(texts), 240)
+    for i in (0, 1, 2, 3, 60, len(texts) - 1):
+        alone = B.signatures(*shingles_of(words_of([texts[i]]), 1, 5), 1, 240)
+        assert np.array_equal(alone[0], together[i])
+
+
 def test_overlap_is_that_of_multisets():
     pairs = [("a b c d e f", "a b c d e g"), ("a b", "a b"), ("a b", "a c"), ("", ""), ("x " * 30, "x " * 40), ("", "a")]
     out = B.overlaps([a.encode() for a, _ in pairs], [b.encode() for _, b in pairs], 5)

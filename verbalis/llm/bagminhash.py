@@ -57,10 +57,12 @@ def signatures(text: np.ndarray, value: np.ndarray, count: np.ndarray, n_texts:
         at = np.flatnonzero(wanted[owner])
         time, step = np.zeros(len(at)), 0
         while len(at):
-            # several points of each process at once when few processes are left
+            # several points of each process at once when few processes are left; gaps are added to the time one after
+            # the other, so that times are the same to the last bit whatever the step
             ahead = max(1, min(64, (1 << 15) // len(at)))
             s = mix(seed[at][:, None] + nth(np.arange(step, step + ahead))[None, :])
-            times = time[:, None] + np.cumsum(-np.log(_unit(s, 1)), axis=1) / rate[at][:, None]
+            gaps = -np.log(_unit(s, 1)) / rate[at][:, None]
+            times = np.cumsum(np.hstack([time[:, None], gaps]), axis=1)[:, 1:]
             inside = times <= limit[owner[at]][:, None]
             level = np.floor(_unit(s, 2) * rate[at][:, None])
             seen = inside & (level < reach[at][:, None])
