@@ -111,6 +111,45 @@ def test_crowded_buckets_are_compared_in_tiles(make_docs, space, monkeypatch):
     assert found(B.near_copies(make_docs(rows), space, bands=60, rows=1)) == brute(rows)
 
 
+def one_band_in_common(shingle, bands, rows):
+    """In the place of ``_sketch``: all texts share their first band, and no two of them another one."""
+
+    def sketch(batches):
+        import zlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            own = [zlib.crc32(t.encode()) << 20 for t in batch.column("words").to_pylist()]
+            keys = pa.array([[7, *(h + k for k in range(1, bands))] for h in own], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("print"), keys], names=["doc_id", "print", "keys"])
+
+    return sketch
+
+
+def test_pairs_that_share_one_crowded_bucket(make_docs, space, monkeypatch):
+    random.seed(6)
+    words = lambda n: [f"w{random.randrange(10_000)}" for _ in range(n)]
+    rows = [(i, " ".join(words(60))) for i in range(B.TILE + 36)]
+    text = words(120)
+    rows += [(1000 + i, " ".join([*text, *words(2)])) for i in range(2)]
+    monkeypatch.setattr(B, "_sketch", one_band_in_common)
+    expected = [(i, i, 1, True) for i, _ in rows[:-2]] + [(1000, 1000, 2, True), (1001, 1000, 2, False)]
+    assert found(B.near_copies(make_docs(rows), space, rows=6)) == sorted(expected, key=str)
+
+
+def test_overlaps_of_all_pairs(monkeypatch):
+    texts = [t.encode() for t in ("a b c d e f", "a b c d e g", "a b", "x " * 30, "x " * 40, "", "a b c d e f g")]
+    pairs = [(a, b) for a in texts for b in texts]
+    expected = B.overlaps([a for a, _ in pairs], [b for _, b in pairs], 5).reshape(len(texts), -1)
+    for limit in (1, 20, 1 << 20):
+        monkeypatch.setattr(B, "TEXT_BYTES", limit)
+        out = np.full(expected.shape, np.nan)
+        for i, start, values in B.all_overlaps(texts, texts, 5, np.ones(expected.shape, bool)):
+            out[i, start : start + len(values)] = values
+        assert np.array_equal(out, expected)
+
+
 def test_edges(edges, none, space):
     rows = [(r.doc_id, r.text) for r in edges.collect()]
     assert found(B.near_copies(edges, space)) == brute(rows)

@@ -16,7 +16,7 @@ from verbalis.session import Workspace
 
 #: A pair of similarity 0.8 shares no band once in 190,000 pairs: (1 - 0.8 ** 6) ** 40.
 BANDS, ROWS = 40, 6
-#: Members of a bucket that are paired by a join; larger buckets are compared in tiles of so many rows.
+#: Members of a bucket that are paired by a join; larger buckets are compared and verified in tiles of so many rows.
 TILE = 64
 TEXT_BYTES = 1 << 20
 
@@ -126,20 +126,71 @@ def _verify(shingle: int, similarity: float):
     return verify
 
 
-def _tile(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Pairs of one tile that are not in one component yet and share a second band, or more."""
-    low, high = key[1].as_py(), key[2].as_py()
-    node, group, chunk = (rows.column(c).to_numpy() for c in ("node", "component", "chunk"))
-    keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-    i, j = (np.flatnonzero(chunk == c) for c in (low, high))
-    shared = np.zeros((len(i), len(j)), np.int32)
-    for k in range(keys.shape[1]):
-        shared += keys[i, k][:, None] == keys[j, k][None, :]
-    r, c = np.nonzero((shared > 1) & (group[i][:, None] != group[j][None, :]))
-    a, b = node[i[r]], node[j[c]]
-    once = a < b if low == high else np.ones(len(a), bool)
-    a, b = a[once], b[once]
-    return pa.Table.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+def _parts(texts: list[bytes]) -> list[tuple[int, int]]:
+    """Ranges of texts of about ``TEXT_BYTES``; a longer text is a range of its own."""
+    cuts, total = [0], 0
+    for i, text in enumerate(texts):
+        if total and total + len(text) > TEXT_BYTES:
+            cuts.append(i)
+            total = 0
+        total += len(text)
+    return list(zip(cuts, [*cuts[1:], len(texts)]))
+
+
+def all_overlaps(left: list[bytes], right: list[bytes], shingle: int, wanted: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For each text on the left: its place, the first place and the weighted Jaccards of a range of texts on the right.
+
+    Ranges without a wanted pair are left out. Each range is cut into shingles once for all texts of the other side.
+    """
+    for low, high in _parts(right):
+        for start, end in _parts(left):
+            if not wanted[start:end, low:high].any():
+                continue
+            n, m = end - start, high - low
+            text, value, count = shingles_of(words_of(left[start:end] + right[low:high]), n + m, shingle)
+            total = np.bincount(text, count, n + m)
+            value = np.unique(value, return_inverse=True)[1]
+            mine = [np.flatnonzero(text == i) for i in range(n)]
+            theirs = np.flatnonzero(text >= n)
+            owner, word, times = text[theirs] - n, value[theirs], count[theirs]
+            weight = np.zeros(value.max(initial=-1) + 1)
+            for i in np.flatnonzero(wanted[start:end, low:high].any(axis=1)):
+                weight[value[mine[i]]] = count[mine[i]]
+                shared = np.bincount(owner, np.minimum(weight[word], times), m)
+                weight[value[mine[i]]] = 0
+                joint = total[i] + total[n:] - shared
+                yield start + i, low, np.divide(shared, joint, out=np.ones(m), where=joint > 0)
+
+
+def _tile(shingle: int, similarity: float):
+    def tile(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        """Verified links of one tile, as many as it takes to join the components that its pairs join.
+
+        All pairs of a tile share its bucket. A pair is compared in the lowest bucket it shares: as long as it is of two
+        components, all its buckets are open.
+        """
+        bucket, low, high = (k.as_py() for k in key)
+        node, group, chunk = (rows.column(c).to_numpy() for c in ("node", "component", "chunk"))
+        keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        words = rows.column("words")
+        i, j = (np.flatnonzero(chunk == c) for c in (low, high))
+        wanted = group[i][:, None] != group[j][None, :]
+        if low == high:
+            wanted &= node[i][:, None] < node[j][None, :]
+        for k in range(keys.shape[1]):
+            wanted &= (keys[i, k][:, None] != keys[j, k][None, :]) | (keys[i, k] >= bucket)[:, None]
+        left, right = ([words[int(x)].as_py().encode() for x in side] for side in (i, j))
+        group, links = group.copy(), []
+        for x, start, value in all_overlaps(left, right, shingle, wanted):
+            for y in np.flatnonzero((value >= similarity) & wanted[x, start : start + len(value)]) + start:
+                mine, other = group[i[x]], group[j[y]]
+                if mine != other:
+                    group[group == other] = mine
+                    links.append(sorted((node[i[x]], node[j[y]])))
+        found = np.array(links, np.int64).reshape(-1, 2)
+        return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    return tile
 
 
 class _Search:
@@ -152,13 +203,13 @@ class _Search:
         self.links: DataFrame | None = None
         self.groups: DataFrame | None = None
 
-    def verified(self, pairs: DataFrame, name: str) -> None:
-        """Keep the pairs whose texts overlap enough, and find the components so far."""
+    def verified(self, pairs: DataFrame, name: str, crowd: DataFrame | None = None) -> None:
+        """Keep the pairs whose texts overlap enough, and the links of ``crowd``; find the components so far."""
         a = self.texts.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
         b = self.texts.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
         both = pairs.join(a, "a").join(b, "b")
         found = both.mapInArrow(_verify(self.shingle, self.similarity), "a long, b long")
-        found = self.space.keep(found, f"links_{name}")
+        found = self.space.keep(found if crowd is None else found.unionByName(crowd), f"links_{name}")
         self.links = found if self.links is None else self.links.unionByName(found)
         self.groups = components(self.links, self.space, f"groups_{name}")
 
@@ -190,21 +241,24 @@ class _Search:
         return pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
 
     def third(self) -> DataFrame:
-        """All pairs across components of buckets still open. Small buckets join; large ones are compared in tiles,
-        which return only pairs that share a second band, so a crowd with one passage in common makes few rows."""
-        rows = self.space.keep(self.open_members(), "open_3")
-        small = rows.filter(F.col("n") <= TILE)
+        """All pairs across components of buckets still open that have at most ``TILE`` members."""
+        self.open = self.space.keep(self.open_members(), "open_3")
+        small = self.open.filter(F.col("n") <= TILE)
         other = small.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
         pairs = small.join(other, "bucket").filter("node < b and component <> other")
-        pairs = pairs.select(F.col("node").alias("a"), "b")
+        return pairs.select(F.col("node").alias("a"), "b").distinct()
+
+    def crowd(self) -> DataFrame:
+        """Links across components of the larger ones: all their pairs, compared and verified in tiles, so that a crowd
+        with one passage in common makes no rows for its pairs."""
         chunks = F.ceil(F.col("n") / TILE)
-        large = rows.filter(F.col("n") > TILE).join(self.nodes.select("node", "keys"), "node")
-        large = large.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+        large = self.open.filter(F.col("n") > TILE).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+        large = large.join(self.nodes.select("node", "keys"), "node").join(self.texts, "node")
         tiles = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
         tiles = tiles.withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
-        tiles = tiles.select("bucket", "low", "high", "node", "component", "chunk", "keys")
-        crowd = tiles.groupBy("bucket", "low", "high").applyInArrow(_tile, "a long, b long")
-        return pairs.unionByName(crowd).distinct()
+        tiles = tiles.select("bucket", "low", "high", "node", "component", "chunk", "keys", "words")
+        tile = _tile(self.shingle, self.similarity)
+        return tiles.groupBy("bucket", "low", "high").applyInArrow(tile, "a long, b long").distinct()
 
 
 def near_copies(
@@ -248,11 +302,12 @@ def near_copies(
     words = words.filter(F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "words")
     search.texts = space.keep(words, "words")
     search.verified(pairs, "1")
-    for turn, find in ((2, search.second), (3, search.third)):
-        pairs = space.keep(find(), f"pairs_{turn}")
-        if pairs.isEmpty():
-            break
-        search.verified(pairs, str(turn))
+    pairs = space.keep(search.second(), "pairs_2")
+    if not pairs.isEmpty():
+        search.verified(pairs, "2")
+        pairs = space.keep(search.third(), "pairs_3")
+        if not search.open.isEmpty():
+            search.verified(pairs, "3", search.crowd())
     space.drop("words")
     named = texts.join(search.groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = named.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
