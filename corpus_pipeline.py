@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from verbalis.llm import bagminhash, exact, mixing, packing, quality
-from verbalis.llm.common import columns_of, space_of, table, whole_row
+from verbalis.llm.common import space_of, table
 from verbalis.llm.queries import END_ID, SEQUENCE, tokenizer_path
 
 
@@ -22,13 +20,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def unlike_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, that of the smallest id; of rows that repeat it, one stays."""
-    stay = bagminhash.near_copies(docs.select("doc_id", "text"), space_of(spark)).filter("kept")
-    stay = stay.select(F.col("doc_id").alias("_stay")).distinct()
-    rows = docs.select(whole_row(docs), F.col("doc_id").alias("_id"))
-    left = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay")), "left_semi")
-    order = Window.partitionBy("_id").orderBy(F.xxhash64("_row"))
-    return left.withColumn("_at", F.row_number().over(order)).filter("_at = 1").select(*columns_of(docs))
+    """One document of each class of near copies, that of the smallest id; of its rows that repeat it, one stays."""
+    return bagminhash.without_near_copies(docs, space_of(spark))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline as pipeline
+from test_bagminhash import bag, jaccard
 from test_bagminhash import brute as near_brute
 from test_exact import brute as exact_brute
 
@@ -38,3 +39,35 @@ def test_stages_on_odd_documents(edges, spark):
     for _, stage in pipeline.STAGES[:-1]:
         docs = space_of(spark).keep(stage(spark, docs, SF), "s")
     assert docs.columns == edges.withColumnRenamed("n", "n_chars").columns
+
+
+def test_near_copies_of_repeated_and_missing_ids(make_docs, spark):
+    words = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    rows = [
+        (1, words("a")),
+        (1, words("b")),
+        (1, words("a") + " more"),
+        (2, words("c")),
+        (1, words("c") + " more"),
+        (3, words("d")),
+        (3, words("D").upper()),
+        (None, words("e")),
+        (None, words("f")),
+        (None, words("f") + " more"),
+        (None, words("g")),
+        (4, words("g") + " more"),
+        (None, None),
+        (5, words("h")),
+    ]
+    left = pipeline.unlike_documents(spark, make_docs(rows), SF)
+    left = [(r.doc_id, r.text) for r in left.collect()]
+    assert set(left) <= set(rows)
+    classes = {}
+    for n, (_, text) in enumerate(rows):
+        mate = next((c for c, members in classes.items() if any(jaccard(bag(text), bag(rows[m][1])) >= 0.8 for m in members)), n)
+        classes.setdefault(mate, []).append(n)
+    assert len(left) == len(classes)
+    for members in classes.values():
+        ids = [rows[m][0] for m in members]
+        least = min((i for i in ids if i is not None), default=None)
+        assert sum(row in left for row in {rows[m] for m in members if rows[m][0] == least}) == 1

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import SPACE_RUN, folded, small_batches, whole_text
+from verbalis.llm.common import SPACE_RUN, columns_of, folded, small_batches, whole_row, whole_text
 from verbalis.llm.components import components
 from verbalis.llm.texthash import U, mix, nth, shingles_of, words_of
 from verbalis.session import Workspace
@@ -253,7 +253,9 @@ class _Search:
         with one passage in common makes no rows for its pairs."""
         chunks = F.ceil(F.col("n") / TILE)
         large = self.open.filter(F.col("n") > TILE).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-        large = large.join(self.nodes.select("node", "keys"), "node").join(self.texts, "node")
+        # copies that repeat an id are several rows of one node
+        texts = self.texts.join(large.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+        large = large.join(self.nodes.select("node", "keys"), "node").join(texts, "node")
         tiles = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
         tiles = tiles.withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
         tiles = tiles.select("bucket", "low", "high", "node", "component", "chunk", "keys", "words")
@@ -261,31 +263,18 @@ class _Search:
         return tiles.groupBy("bucket", "low", "high").applyInArrow(tile, "a long, b long").distinct()
 
 
-def near_copies(
-    docs: DataFrame,
-    space: Workspace,
-    similarity: float = 0.8,
-    shingle: int = 5,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per input row: id, class_id (the smallest id of its class), class_size, kept.
+def print_of(words: Column) -> Column:
+    """A hash that is equal for texts of equal words."""
+    return F.md5(folded(words))
 
-    Two texts link if the multisets of their word shingles have a weighted Jaccard of at least ``similarity``; classes
-    are the components of links. Texts of equal words (A-Z lower-cased) are one text, so copies cost no pairs. Texts that
-    share a band are candidates: first with one centre per bucket, then with centres drawn per bucket, and at last, in
-    buckets that still hold several components, with all members of other components. Every candidate is verified by
-    its words before it counts.
 
-    Texts of fewer words than a shingle have one shingle; texts without words (null, empty, white space) are one class.
-    A null id is larger than any other. Rows that repeat an id are rows of their own. Empty tables give an empty result;
-    other columns are not read.
-    """
+def _classes(
+    docs: DataFrame, space: Workspace, similarity: float, shingle: int, bands: int, rows: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, print`` of every row, and ``print, component, least, copies`` of every text."""
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("doc_id"), plain_words(text_col).alias("words"))
-    given = given.withColumn("print", F.md5(folded(F.col("words"))))
+    given = given.withColumn("print", print_of(F.col("words")))
     sketched = given.mapInArrow(_sketch(shingle, bands, rows), f"doc_id {id_type}, print string, keys array<long>")
     sketched = space.keep(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
     texts = sketched.groupBy("print").agg(
@@ -310,12 +299,55 @@ def near_copies(
             search.verified(pairs, "3", search.crowd())
     space.drop("words")
     named = texts.join(search.groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return sketched.select("doc_id", "print"), named.select("print", "component", "least", "copies")
+
+
+def near_copies(
+    docs: DataFrame,
+    space: Workspace,
+    similarity: float = 0.8,
+    shingle: int = 5,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per input row: id, class_id (the smallest id of its class), class_size, kept.
+
+    Two texts link if the multisets of their word shingles have a weighted Jaccard of at least ``similarity``; classes
+    are the components of links. Texts of equal words (A-Z lower-cased) are one text, so copies cost no pairs. Texts that
+    share a band are candidates: first with one centre per bucket, then with centres drawn per bucket, and at last, in
+    buckets that still hold several components, with all members of other components. Every candidate is verified by
+    its words before it counts.
+
+    Texts of fewer words than a shingle have one shingle; texts without words (null, empty, white space) are one class.
+    A null id is larger than any other. Rows that repeat an id are rows of their own. Empty tables give an empty result;
+    other columns are not read.
+    """
+    rows_of, named = _classes(docs, space, similarity, shingle, bands, rows, id_col, text_col)
     classes = named.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     named = named.join(classes, "component").select("print", "class_id", "class_size")
-    out = sketched.select("doc_id", "print").join(named, "print")
+    out = rows_of.join(named, "print")
     return out.select(
         F.col("doc_id").alias(id_col),
         "class_id",
         F.col("class_size").cast("long").alias("class_size"),
         F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
     )
+
+
+def without_near_copies(docs: DataFrame, space: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of near copies: that of the smallest id.
+
+    Of rows of a class that repeat its smallest id, or are all without one, the text of the smallest hash stays, and of
+    rows that repeat that too the first by the hash of all columns. Classes are told apart by their texts, so an id may
+    stay in several of them. Both choices are least values, summed up in every task first.
+    """
+    _, named = _classes(docs.select(id_col, text_col), space, 0.8, 5, BANDS, ROWS, id_col, text_col)
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "print")).alias("first")
+    stay = named.groupBy("component").agg(first).select(F.col("first.print").alias("_key"), F.col("first.least").alias("_stay"))
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("_id"), print_of(plain_words(text_col)).alias("_print"))
+    same = (F.col("_print") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_stay"))
+    left = rows.join(stay, same, "left_semi")
+    left = left.groupBy("_print").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return left.select(*columns_of(docs))
