@@ -42,3 +42,27 @@ def test_draws_are_reproducible_and_buildable(family, spark):
             assert 4 <= len(settings["hidden"]) < 8 and all(50 <= n < 200 for n in settings["hidden"])
         if "depth" in settings and "max_features" in settings:
             assert 3 <= settings["depth"] < 15 and 3 <= settings["max_features"] < 15
+
+
+def test_training_queries_use_default_settings(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from verbalis.learners import families as Fam
+    from verbalis.plans import queries as Q
+
+    assert all(Q.TASK.settings(f) == Fam.DEFAULTS[f] for f in Fam.FAMILIES)
+    trainer, data, search = MagicMock(), MagicMock(), MagicMock()
+    search.select_models.return_value = [None] * 3
+    data.once = lambda spark, sf, name, build: build()
+    for name, value in (("AutoTextClassifier", trainer), ("D", data), ("Se", search)):
+        monkeypatch.setattr(Q, name, value)
+    monkeypatch.setattr(Q, "_sides", lambda spark, sf: (MagicMock(), MagicMock()))
+    Q._run(None, "")
+    Q.QUERIES["select_models"](None, "")
+    run, default = trainer.call_args.args[0], TrainingParams()
+    for name in (
+        "model_selection_cv_folds_count", "n_promising_models_to_select", "n_hyperparam_combos", "model_tuning_cv_folds_count",
+    ):
+        assert getattr(run, name) == getattr(default, name)
+    assert len(trainer.call_args.args) == 2 and not trainer.call_args.kwargs
+    assert len(search.select_models.call_args.args) == 3 and search.select_models.call_args.args[2] == default

@@ -726,18 +726,7 @@ def _sides(spark, sf):
     return vectors.filter("split = 'train'").drop("split"), vectors.filter("split = 'test'").drop("split")
 
 
-# Fewer trees, rounds and iterations than the defaults, so that all families run in a check.
-LIGHT = {
-    "logistic": {"max_iter": 50},
-    "linear_svm": {"max_iter": 10},
-    "poly_svm": {"max_iter": 5},
-    "rbf_svm": {"max_iter": 5, "components": 256},
-    "random_forest": {"trees": 20},
-    "extra_trees": {"trees": 20},
-    "adaboost": {"trees": 5},
-    "mlp": {"max_iter": 50},
-}
-TASK = Fam.Task(classes=10, features=64, seed=SEED, overrides=LIGHT)
+TASK = Fam.Task(classes=10, features=64, seed=SEED)
 
 
 def _predicted(model, test: DataFrame) -> DataFrame:
@@ -797,9 +786,9 @@ def cv_predictions(spark, sf):
 @query
 def random_search(spark, sf):
     """Best drawn settings of a decision tree and its mean macro F1."""
-    params = TrainingParams(n_hyperparam_combos=3, model_tuning_cv_folds_count=3)
+    params = TrainingParams()
     train, _ = _sides(spark, sf)
-    data = compacted(Sa.stratified_folds(train, 3, SEED), train.count(), 64)
+    data = compacted(Sa.stratified_folds(train, params.model_tuning_cv_folds_count, SEED), train.count(), 64)
     tuned = Se.random_search("decision_tree", data, TASK, params)
     rows = [("score", str(round(tuned.score, 6)))] + [(k, str(v)) for k, v in sorted(tuned.settings.items())]
     return spark.createDataFrame(rows, "setting string, value string")
@@ -807,18 +796,17 @@ def random_search(spark, sf):
 
 @query
 def select_models(spark, sf):
-    """Cross-validated metrics of three families on a capped pool."""
-    params = TrainingParams(model_selection_cv_folds_count=3)
+    """Cross-validated metrics of all families on a capped pool."""
     train, _ = _sides(spark, sf)
-    metrics, _, _ = Se.select_models(train, TASK, params, ("logistic", "knn", "decision_tree"))
+    metrics, _, _ = Se.select_models(train, TASK, TrainingParams())
     return metrics
 
 
 @query
 def evaluate_best(spark, sf):
-    """Hold-out metrics of two fitted models."""
+    """Hold-out metrics of a fitted model of every family."""
     train, test = _sides(spark, sf)
-    tuned = [Se.Tuned(f, Fam.build(f, TASK).fit(train), {}, None) for f in ("logistic", "decision_tree")]
+    tuned = [Se.Tuned(f, Fam.build(f, TASK).fit(train), {}, None) for f in Fam.FAMILIES]
     return Se.evaluate_models(test, tuned, TrainingParams())[0]
 
 
@@ -826,19 +814,15 @@ def evaluate_best(spark, sf):
 
 
 def _run(spark, sf):
-    """A training run on the language of the documents."""
+    """A training run on the language of the documents, with all families and default search settings."""
 
     def build():
         params = TrainingParams(
             label_col_name="lang",
             number_of_records_to_include=1.0,
             min_records_per_class=20,
-            model_selection_cv_folds_count=3,
-            n_promising_models_to_select=1,
-            n_hyperparam_combos=1,
-            model_tuning_cv_folds_count=3,
         )
-        trainer = AutoTextClassifier(params, D.lexicons(spark, sf), ("logistic", "decision_tree"), LIGHT)
+        trainer = AutoTextClassifier(params, D.lexicons(spark, sf))
         return trainer.fit(D.documents(spark, sf).drop("source"))
 
     return D.once(spark, sf, "run", build)
