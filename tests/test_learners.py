@@ -173,3 +173,19 @@ def test_select_and_evaluate(blobs):
     strict = TrainingParams(final_min_performance=1.0)
     _, _, none = Se.evaluate_models(blobs.withColumn("label_index", F.lit(0.0)), tuned, strict)
     assert none is None
+
+
+def test_quadratic_map_is_chosen_by_its_setting(spark, blobs):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 80)) * rng.choice([0.5, 1.5], (600, 1))
+    y = ((x**2).sum(axis=1) > 80).astype(float)
+    wide = spark.createDataFrame([(float(b), a.tolist()) for a, b in zip(x, y)], "label_index double, x array<double>")
+    wide = wide.select("label_index", array_to_vector("x").alias("features")).coalesce(1).persist()
+    for rows, classes, dims in ((wide, 2, 80), (blobs, 3, 4)):
+        task = Fam.Task(classes, dims, 5, {"poly_svm": {"max_iter": 5}})
+        for drawn, kind in (({}, "PolynomialExpansion"), ({"quadratic": "sketch"}, "QuadraticSketch")):
+            model = Fam.build("poly_svm", task, drawn).fit(rows)
+            assert kind in [type(s).__name__ for s in model.stages]
+            assert _accuracy(model.transform(rows)) > 0.85
+    with pytest.raises(ValueError):
+        Fam.build("poly_svm", TASK, {"quadratic": "best"})

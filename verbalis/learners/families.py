@@ -29,7 +29,7 @@ DEFAULTS = {
     "logistic": {"alpha": 1e-4, "max_iter": 1000},
     "knn": {"k": 5},
     "linear_svm": {"alpha": 0.001, "max_iter": 50},
-    "poly_svm": {"cost": 5.0, "max_iter": 30, "components": 1024},
+    "poly_svm": {"cost": 5.0, "max_iter": 30, "quadratic": "exact", "components": 1024},
     "rbf_svm": {"cost": 1.0, "gamma": 0.0, "max_iter": 30, "components": 512},
     "decision_tree": {"depth": 3},
     "random_forest": {"trees": 100, "depth": 3},
@@ -70,7 +70,10 @@ def build(family: str, task: Task, drawn: dict | None = None, final: bool = Fals
             return CalibratedSvm(regParam=s["alpha"], maxIter=s["max_iter"], seed=task.seed)
         return linear_machine(task.classes, s["alpha"], s["max_iter"])
     if family == "poly_svm":
-        return KernelSvm(kernel="poly", cost=s["cost"], maxIter=s["max_iter"], components=s["components"], seed=task.seed)
+        return KernelSvm(
+            kernel="poly", cost=s["cost"], maxIter=s["max_iter"], components=s["components"], seed=task.seed,
+            quadratic=s["quadratic"],
+        )
     if family == "rbf_svm":
         return KernelSvm(kernel="rbf", cost=s["cost"], gamma=s["gamma"], maxIter=s["max_iter"], components=s["components"], seed=task.seed)
     wanted = min(task.features, s["max_features"]) if s.get("max_features") else 0

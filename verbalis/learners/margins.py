@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from verbalis.learners.scored import HasClassColumns, ScoredModel, compacted, matrix, set_params
 from verbalis.operators.sampling import stratified_folds
 
-EXACT_DIMS = 64  # up to here the degree-2 map is written out; beyond, it is sketched
-
 
 def linear_machine(classes: int, reg: float, max_iter: int, features: str = "features", parallelism: int = 4):
     """A linear SVM, one-vs-rest for more than two classes."""
@@ -244,7 +242,11 @@ def quadratic_weights(dims: int, gamma: float) -> list[float]:
 
 
 class KernelSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParamsWritable):
-    """Quadratic or Gaussian SVM: standard scaling, an explicit feature map, and linear machines on it."""
+    """Quadratic or Gaussian SVM: standard scaling, an explicit feature map, and linear machines on it.
+
+    ``quadratic`` chooses the map of the quadratic kernel, at every number of features: ``exact`` writes out all d (d + 3)
+    / 2 products, ``sketch`` approximates the kernel by ``components`` random numbers, with another model as the result.
+    """
 
     kernel = Param(Params._dummy(), "kernel", "poly or rbf", TypeConverters.toString)
     cost = Param(Params._dummy(), "cost", "cost of errors", TypeConverters.toFloat)
@@ -252,9 +254,12 @@ class KernelSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParams
     components = Param(Params._dummy(), "components", "size of the random map", TypeConverters.toInt)
     maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
+    quadratic = Param(Params._dummy(), "quadratic", "map of the quadratic kernel: exact or sketch", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, kernel="rbf", cost=1.0, gamma=0.0, components=512, maxIter=30, seed=5):
+    def __init__(self, kernel="rbf", cost=1.0, gamma=0.0, components=512, maxIter=30, seed=5, quadratic="exact"):
+        if quadratic not in ("exact", "sketch"):
+            raise ValueError(f"quadratic={quadratic!r} is not valid: exact or sketch")
         super().__init__()
         self._set_class_columns()
         set_params(self)
@@ -270,7 +275,7 @@ class KernelSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParams
         stages = [StandardScaler(inputCol=features, outputCol="_scaled", withMean=True, withStd=True)]
         if get("kernel") == "rbf":
             stages.append(FourierFeatures(inputCol="_scaled", outputCol="_mapped", components=get("components"), gamma=gamma, seed=get("seed")))
-        elif dims <= EXACT_DIMS:
+        elif get("quadratic") == "exact":
             stages.append(PolynomialExpansion(degree=2, inputCol="_scaled", outputCol="_expanded"))
             scale = Vectors.dense(quadratic_weights(dims, gamma))
             stages.append(ElementwiseProduct(scalingVec=scale, inputCol="_expanded", outputCol="_mapped"))
