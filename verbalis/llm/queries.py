@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbalis.llm import bagminhash, embeddings, exact, linededup, mixing, packing, ppm, quality, quoting, warc
+from verbalis.llm import bagminhash, bpe, embeddings, exact, linededup, merkle, mixing, packing, ppm, quality, quoting, warc
 from verbalis.llm.common import space_of, table, whole_text
 
 #: Tokens of a packed sequence, the tokenizer of its ids, and the id behind every document.
@@ -77,6 +77,32 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), space_of(spark))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(table(spark, sf_dir, "documents"), space_of(spark))
+    sibling = F.transform("path", lambda x: F.concat(x["left"], x["right"]))
+    return out.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(sibling, ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    automaton = bpe.MergeAutomaton.compiled(tokenizer_path())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.decoded(bpe.encoded(docs, automaton), automaton)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mix,
         op9_warc_normaliser,
         op10_embedding_dedup,
+        op11_merkle_manifest,
+        op13_bpe,
     )
 }
 
@@ -119,6 +147,60 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
             sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op11_merkle_manifest": """
+        WITH RECURSIVE rows_ AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS g, text,
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS changed,
+                row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos
+            FROM rows_
+        ), up AS (
+            SELECT g, 0 AS lvl, pos, leaf AS node, count(*) OVER (PARTITION BY g) AS n FROM leaves
+            UNION ALL
+            SELECT g, lvl, pos, node, count(*) OVER (PARTITION BY g) AS n FROM (
+                SELECT g, max(lvl) + 1 AS lvl, pos // 8 AS pos, sha256(string_agg(node, '' ORDER BY pos)) AS node
+                FROM up WHERE n > 1 GROUP BY g, pos // 8)
+        ), subroots AS (
+            SELECT g, node AS subroot, lvl AS height, row_number() OVER (ORDER BY g) - 1 AS pos FROM up WHERE n = 1
+        ), over_ AS (
+            SELECT 0 AS lvl, pos, subroot AS node, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT lvl, pos, node, count(*) OVER () AS n FROM (
+                SELECT max(lvl) + 1 AS lvl, pos // 8 AS pos, sha256(string_agg(node, '' ORDER BY pos)) AS node
+                FROM over_ WHERE n > 1 GROUP BY pos // 8)
+        ), steps AS (
+            SELECT l.doc_id, u.lvl, u.pos, l.pos // (8 ** u.lvl)::BIGINT AS own, u.node
+            FROM leaves l JOIN up u ON u.g = l.g AND u.n > 1 AND u.pos // 8 = l.pos // (8 ** (u.lvl + 1))::BIGINT
+            UNION ALL
+            SELECT l.doc_id, s.height + o.lvl, o.pos, s.pos // (8 ** o.lvl)::BIGINT, o.node
+            FROM leaves l JOIN subroots s USING (g) JOIN over_ o ON o.n > 1 AND o.pos // 8 = s.pos // (8 ** (o.lvl + 1))::BIGINT
+        ), pairs AS (
+            SELECT doc_id, lvl, coalesce(string_agg(node, '' ORDER BY pos) FILTER (pos < own), '') AS l,
+                coalesce(string_agg(node, '' ORDER BY pos) FILTER (pos > own), '') AS r
+            FROM steps GROUP BY doc_id, lvl
+        ), crc_table AS (
+            SELECT i, list_reduce([i::UINTEGER, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END) AS c FROM range(256) t(i)
+        ), entries AS (SELECT list(c ORDER BY i) AS t FROM crc_table
+        ), crc AS (
+            SELECT doc_id, xor(list_reduce(list_prepend(4294967295::UINTEGER, list_transform(string_split(doc_id::VARCHAR, ''),
+                lambda x: ascii(x)::UINTEGER)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::UINTEGER) AS crc
+            FROM documents, entries
+        ), folded AS (
+            SELECT doc_id, 0 AS lvl, CASE WHEN crc % 3 = 0 THEN changed ELSE leaf END AS now FROM leaves JOIN crc USING (doc_id)
+            UNION ALL
+            SELECT f.doc_id, f.lvl + 1, sha256(p.l || f.now || p.r) FROM folded f JOIN pairs p ON p.doc_id = f.doc_id AND p.lvl = f.lvl
+        ), proofs AS (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY lvl)) AS proof_sha256 FROM pairs GROUP BY doc_id
+        ), ends AS (SELECT doc_id, arg_max(now, lvl) AS folded_root FROM folded GROUP BY doc_id)
+        SELECT doc_id, leaf, subroot, o.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+            folded_root = o.node AS verified
+        FROM leaves JOIN subroots USING (g) JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), over_ o WHERE o.n = 1""",
     "op9_warc_normaliser": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
