@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbalis.llm import bagminhash, bpe, embeddings, exact, linededup, merkle, mixing, packing, ppm, quality, quoting, warc
+from verbalis.llm import bagminhash, bpe, embeddings, exact, linededup, merkle, mixing, negatives, packing, ppm, quality, quoting, warc
 from verbalis.llm.common import space_of, table, whole_text
 
 #: Tokens of a packed sequence, the tokenizer of its ids, and the id behind every document.
@@ -91,6 +91,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, space_of(spark), F.col("vec_id") % 100 == 0, label)
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     automaton = bpe.MergeAutomaton.compiled(tokenizer_path())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc_normaliser,
         op10_embedding_dedup,
         op11_merkle_manifest,
+        op12_hard_negatives,
         op13_bpe,
     )
 }
@@ -201,6 +208,26 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, leaf, subroot, o.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
             folded_root = o.node AS verified
         FROM leaves JOIN subroots USING (g) JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), over_ o WHERE o.n = 1""",
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+            (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
     "op9_warc_normaliser": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
