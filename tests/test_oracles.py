@@ -5,7 +5,6 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF
 
 import __spark_entry__ as entry
 
@@ -13,10 +12,10 @@ ORACLES = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def duck():
+def duck(sf):
     connection = duckdb.connect()
-    for name in os.listdir(SF):
-        connection.execute(f"CREATE VIEW {name[:-8]} AS SELECT * FROM '{SF}/{name}'")
+    for name in os.listdir(sf):
+        connection.execute(f"CREATE VIEW {name[:-8]} AS SELECT * FROM '{sf}/{name}'")
     return connection
 
 
