@@ -108,5 +108,13 @@ def test_pack_documents(make_docs, space):
     assert plain(again) == plain(out)
 
 
+def test_equal_rows_fill_sequences_together(make_docs, space):
+    docs = make_docs([(None, None)] * 700 + [(None, "x y")] * 40 + [(1, "a b c")] * 30)
+    out = packing.pack_documents(docs, space, PATH, 64, group_rows=50)
+    made, tokens = check(docs, out, 64)
+    assert made <= -(-tokens // 64) + 1
+    assert packing.numbered(out.drop("sequence_id", "offset")).select("_key").distinct().count() == 770
+
+
 def test_empty(none, space):
     assert packing.pack_documents(none, space, PATH).count() == 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 import zlib
 from array import array
 from collections import defaultdict
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from verbalis.llm.common import small_batches
 from verbalis.session import Workspace
 
-#: Chunks of text whose ids one Python worker remembers; further ones are encoded each time. Ids do not depend on it.
-REMEMBERED = 200_000
+#: Chunks of text whose ids one Python worker remembers, and the bytes they may take; further ones are encoded each time.
+#: Ids do not depend on either.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 64 << 20
 #: Line feeds, printable ASCII and two blocks of Latin letters: no white space but the space and the line feed.
 _LATIN = re.compile("[\n\x20-\x7e\xa1-\xac\xae-\u017f]*")
 #: Fixed value: how a byte-level tokenizer of this kind parts a text before it merges.
@@ -42,16 +44,20 @@ class ChunkedTokenizer:
 
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True
-        self.ranked = self.by_ranks(path)
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        parts = file.get("pre_tokenizer") or {}
+        by_words = parts.get("type") == "ByteLevel" and parts.get("use_regex", True) and not parts.get("add_prefix_space")
+        self.by_words = bool(by_words and not file.get("normalizer"))
+        self.ranked = self.by_ranks(file["model"]) if self.by_words else None
         self.ids: dict[str, bytes] = {}
+        self.size = 0
 
     @staticmethod
-    def by_ranks(path: str):
+    def by_ranks(model: dict):
         """An encoder of the same vocabulary by ranks, or None if the merges of the file are ordered otherwise."""
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [model["vocab"][a + b] for a, b in pairs]
         # The byte-level alphabet. Visible Latin-1 characters stand for themselves, other bytes follow 255.
@@ -100,16 +106,23 @@ class ChunkedTokenizer:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.ids
-        split = [self.chunks(t) if t and self.plain(t) else None for t in texts]
+        split = [self.chunks(t) if t and self.by_words and self.plain(t) else None for t in texts]
         new = self.fresh(list(set().union(*(s for s in split if s)).difference(known)))
         known.update(new)
+        self.size += sum(map(self.cost, new, new.values()))
         whole = iter(self.encode([t for t, s in zip(texts, split) if s is None]))
         out = [next(whole) if s is None else b"".join(map(known.__getitem__, s)) for s in split]
-        if len(known) > REMEMBERED:
-            for name in list(new)[: len(known) - REMEMBERED]:
-                del known[name]
+        for name in reversed(list(new)):
+            if len(known) <= REMEMBERED and self.size <= REMEMBERED_BYTES:
+                break
+            self.size -= self.cost(name, known.pop(name))
         return out
 
+    @staticmethod
+    def cost(name: str, ids: bytes) -> int:
+        """Bytes that an entry takes, about."""
+        return 200 + len(name) + len(ids)
+
 
 def pieces_of(ids: bytes, limit: int) -> Iterator[tuple[int, int, int, int]]:
     """(piece, start, length, crc) of a document's ids: pieces of ``limit`` from its end, the first takes the rest."""
@@ -129,6 +142,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
+        pa.set_memory_pool(pa.system_memory_pool())
         encoder = ChunkedTokenizer.of(tokenizer)
         for batch in small_batches(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -149,13 +163,13 @@ def token_pieces(
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, schema)
 
 
-def lower_bound(lengths: np.ndarray, limit: int) -> int:
-    """Bins of ``limit`` that any packing of ``lengths`` needs: the best of several dual feasible functions.
+def bound_of_counts(counts: np.ndarray, limit: int) -> int:
+    """Bins of ``limit`` that any packing needs of ``counts[n]`` pieces of length n: the best of several dual feasible functions.
 
     For every threshold t: pieces above limit - t count as a whole bin, those below t as nothing, the rest by length;
     and for k = 1, 2, ... the rounding function x -> floor((k + 1) x / limit) / k, exact where (k + 1) x / limit is whole.
     """
-    counts = np.bincount(lengths, minlength=limit + 1).astype(np.int64)
+    counts = counts.astype(np.int64)
     size = np.arange(limit + 1, dtype=np.int64)
     mass = np.cumsum(counts * size)
     total = np.cumsum(counts)
@@ -170,6 +184,10 @@ def lower_bound(lengths: np.ndarray, limit: int) -> int:
     return best
 
 
+def lower_bound(lengths: np.ndarray, limit: int) -> int:
+    return bound_of_counts(np.bincount(lengths, minlength=limit + 1), limit)
+
+
 def best_fit(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of every length; lengths come in decreasing order. Each goes to the fullest bin that has room.
 
@@ -200,60 +218,79 @@ def _pack_group(limit: int, turn: int):
     keys = [("length", "descending"), *((c, "ascending") for c in ("doc_id", "piece", "ids_crc32", "start"))]
 
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        """Pack one group anew; keep its former bins if that saves none. Full bins and certified groups are done."""
+        """Pack one group anew, unless its former bins are as few as a lower bound or as a new packing of it."""
+        pa.set_memory_pool(pa.system_memory_pool())
         rows = rows.drop_columns(["_group"]).sort_by(keys)
         lengths, former = rows.column("length").to_numpy(), rows.column("sequence_id").to_numpy()
-        bins, offsets = best_fit(lengths, limit)
-        made, before = int(bins.max()) + 1, len(np.unique(former))
-        if turn and before <= made:
-            ids, offsets, made = former, rows.column("offset").to_numpy(), before
+        before = len(np.unique(former))
+        certified = turn and before == lower_bound(lengths, limit)
+        bins, offsets = (former, None) if certified else best_fit(lengths, limit)
+        if certified or turn and before <= int(bins.max()) + 1:
+            ids, offsets = former, rows.column("offset").to_numpy()
         else:
             ids = (((turn << 28) + key[0].as_py()) << 28) + bins
         _, inverse = np.unique(ids, return_inverse=True)
         full = np.bincount(inverse, weights=lengths)[inverse] == limit
-        done = full | (made == lower_bound(lengths, limit))
         for name, values in (("sequence_id", ids), ("offset", offsets)):
             rows = rows.set_column(rows.schema.get_field_index(name), name, pa.array(values, pa.int64()))
-        return rows.append_column("done", pa.array(done))
+        return rows.append_column("full", pa.array(full))
 
     return pack
 
 
-def pack_pieces(pieces: DataFrame, space: Workspace, limit: int, group_rows: int = 4000, turns: int = 4) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``, in as few sequences of ``limit`` as a few exchanges reach.
+def numbered(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``_key``, a hash that tells equal rows apart by numbers: rows are counted and written out again."""
+    step = 100_000
+    counted = pieces.groupBy(*pieces.columns).agg(F.count("*").alias("_n"))
+    parts = counted.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / step))))
+    parts = parts.repartition(*pieces.columns, "_part")  # a row of very many copies becomes rows of many tasks
+    first = F.col("_part") * step
+    rows = parts.withColumn("_at", F.explode(F.sequence(first, F.least(first + step, F.col("_n")) - 1)))
+    return rows.withColumn("_key", F.xxhash64("doc_id", "piece", "ids_crc32", "start", "_at")).drop("_n", "_part", "_at")
 
-    1. Pieces are dealt to groups by hash and packed there, largest first, each into the fullest bin with room.
-    2. A group whose number of bins equals a lower bound is certified: no packing of it is better. So is every full bin.
-    3. Groups with gaps exchange: their bins that are not full are dealt anew, whole, to fewer groups, and packed again.
-       A repacked group keeps its former bins unless it saves some, so no turn makes the result worse.
-    4. The bins that only partition borders keep apart shrink turn by turn to about one per group; ``turns`` bounds that.
 
-    Groups have about ``group_rows`` rows at every size of input. Full-length pieces never meet another one.
-    Sequences are the same in a rerun. Rows that repeat an id are packed as rows of their own.
+def pack_pieces(pieces: DataFrame, space: Workspace, limit: int, group_rows: int = 4000) -> DataFrame:
+    """``pieces`` with ``sequence_id`` and ``offset``, in as few sequences of ``limit`` as exchanges reach.
+
+    1. Pieces are dealt to groups by hash and packed there, largest first, each into the fullest bin with room.
+    2. Full bins are done. A group whose number of bins equals a lower bound is certified: no packing of its rows alone
+       is better, so it is not packed again, but its part-filled bins go on to meet those of other groups.
+    3. Bins that are not full are dealt anew, whole, to groups, and these are packed again. A group keeps its former bins
+       unless a new packing saves some, so no turn makes the result worse.
+    4. This ends when all bins together are as few as a lower bound of all pieces (from the count of every length), when
+       one group holds all that is left, or when a turn saves nothing.
+
+    Groups have about ``group_rows`` rows at every size of input. Full-length pieces never meet another one. Rows that
+    repeat an id are packed as rows of their own. Equal rows are counted and numbered, so that any number of them is dealt
+    over all groups. Sequences of pieces below full length are the same in a rerun, whatever the order of the input.
     """
     schema = pieces.schema
     alone = pieces.filter(F.col("length") >= limit)
     rest = pieces.filter(F.col("length") < limit)
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    out_schema = f"{columns}, sequence_id long, offset long, done boolean"
-    number = F.xxhash64("doc_id", "piece", "ids_crc32", "start")
-    now = rest.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
-    now = now.withColumn("_key", number)
+    out_schema = f"{columns}, sequence_id long, offset long, full boolean"
+    counts = np.zeros(limit + 1, np.int64)
+    for r in rest.groupBy("length").count().collect():  # fewer rows than limit
+        counts[r["length"]] = r["count"]
+    n, least, done, before, turn = int(counts.sum()), bound_of_counts(counts, limit), 0, None, 0
+    mark = uuid.uuid4().hex
+    now = numbered(rest).withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
     finished = []
-    for turn in range(turns):
-        n = now.count()
+    while True:
         groups = max(1, round(n / group_rows))
         dealt = now.withColumn("_group", F.pmod("_key", F.lit(groups)))
         packed = dealt.drop("_key").groupBy("_group").applyInArrow(_pack_group(limit, turn), out_schema)
-        packed = space.keep(packed, f"packed_{turn}")
-        if turn == turns - 1 or groups == 1:
-            finished.append(packed.drop("done"))
+        packed = space.keep(packed, f"packed_{mark}_{turn}")
+        first = F.col("offset") == 0
+        size = packed.agg(F.count_if(first & F.col("full")), F.count_if(first & ~F.col("full")), F.count_if(~F.col("full"))).first()
+        full, open_bins, n = size
+        if groups == 1 or done + full + open_bins == least or before is not None and full + open_bins == before:
+            finished.append(packed.drop("full"))
             break
-        finished.append(packed.filter("done").drop("done"))
-        now = packed.filter("not done").drop("done").withColumn("_key", F.xxhash64("sequence_id", F.lit(turn)))
+        finished.append(packed.filter("full").drop("full"))
+        done, before, turn = done + full, open_bins, turn + 1
+        now = packed.filter("not full").drop("full").withColumn("_key", F.xxhash64("sequence_id", F.lit(turn)))
         now = now.withColumn("_key", F.shiftright("_key", 1))
-        if now.isEmpty():
-            break
     # full pieces: a sequence of their own, with numbers that no group has
     singles = alone.withColumn("sequence_id", F.monotonically_increasing_id() + F.lit(1 << 62)).withColumn(
         "offset", F.lit(0).cast("long")
@@ -279,5 +316,6 @@ def pack_documents(
     ``tokenizer`` is the path of a byte-level tokenizer file on every executor. Null and empty texts have only the end
     id. An empty table gives an empty result; columns besides id and text are not read.
     """
-    pieces = space.keep(token_pieces(docs, tokenizer, limit, end_id, id_col, text_col), "pieces")
+    pieces = token_pieces(docs, tokenizer, limit, end_id, id_col, text_col)
+    pieces = space.keep(pieces, f"pieces_{uuid.uuid4().hex}")
     return pack_pieces(pieces, space, limit, **options)
