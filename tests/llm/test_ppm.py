@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verbalis.llm import ppm
+from verbalis.llm.common import space_of
 
 
 class Brute:
@@ -81,3 +83,40 @@ def test_no_training_texts_and_empty(make_docs, none, space):
     assert [r.score for r in out] == pytest.approx([-5 * math.log10(257), -math.log10(257)])
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in out] == [(3, 0, 0), (1, 0, 0)]
     assert ppm.ppm_scores(none, space).count() == 0
+
+
+def test_blocks_end_at_their_keys_and_long_texts_are_cut(make_docs, space):
+    """Random text of many scripts: blocks stay within the bound of keys, texts are cut, and scores do not change."""
+    draw = random.Random(4)
+    letters = [chr(c) for c in (*range(97, 123), *range(0x400, 0x450), *range(0x4E00, 0x4E80))] + [" ", "\n"] * 20
+    data = [(i, "".join(draw.choice(letters) for _ in range(draw.randint(0, 900)))) for i in range(60)]
+    data += [(100, "x" * 5000 + " y"), (101, "ab cd " * 900), (101, "ab cd " * 900), (None, "q " * 800)]
+    docs = make_docs(data).repartition(2)
+    whole = ppm.ppm_scores(docs, space).collect()
+    other = space_of(docs.sparkSession)
+    parts = ppm.ppm_scores(docs, other, block_keys=2000, longest=700).collect()
+    assert docs.sparkSession.read.parquet(f"{other.path}/ppm_scored").filter("cut IS NOT NULL").count() > 10
+    rows = lambda x: sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in x)
+    assert rows(parts) == rows(whole)
+
+
+def test_blocks_are_bounded(spark, make_docs):
+    draw = random.Random(5)
+    data = [(i, "".join(chr(draw.randint(97, 122)) for _ in range(400))) for i in range(100)]
+    rows = make_docs(data).selectExpr("doc_id", "false AS held_out", "text").coalesce(1)
+    made = rows.mapInArrow(ppm._blocks(5, 1 << 20, 3000, 1000), "block long, key long, n long, docs binary")
+    sizes = [r["count"] for r in made.filter("key IS NOT NULL").groupBy("block").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 3000 + 2 * 1000
+
+
+@pytest.mark.parametrize("order", [0, 1, 5])
+def test_keys_of_parts_are_those_of_the_text(order):
+    text = bytes(range(97, 123)) * 3
+    begin = bytes([ppm.BEFORE]) * order
+    whole, _ = ppm.gram_keys(ppm.Segments([text, b"", text], [begin] * 3, [True] * 3), order)
+    cuts = [0, 7, 8, 40, len(text)]
+    parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+    heads = [(begin + text[:a])[len(begin + text[:a]) - order :] for a in cuts[:-1]]
+    made, starts = ppm.gram_keys(ppm.Segments([*parts, b"", *parts], [*heads, begin, *heads], [False] * 3 + [True] * 2 + [False] * 3 + [True]), order)
+    assert made.tolist() == whole.tolist()
+    assert starts.tolist() == [0, 7, 8, 40, 79, 80, 87, 88, 120]

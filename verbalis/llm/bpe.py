@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import small_batches
+from verbalis.llm.common import lean, small_batches
 
 #: Fixed value: how a byte-level tokenizer of this kind parts a text into words before it merges.
 PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -343,7 +343,7 @@ def encoded(docs: DataFrame, automaton: MergeAutomaton, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())
+        lean()
         encoder = Encoder(shared.value)
         for batch in small_batches(batches, "text", BATCH):
             ids = encoder([t or "" for t in batch.column("text").to_pylist()])
@@ -364,7 +364,7 @@ def decoded(rows: DataFrame, automaton: MergeAutomaton, ids_col: str = "ids", te
     shared = rows.sparkSession.sparkContext.broadcast(automaton)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())
+        lean()
         labels = list(shared.value.labels)
         for name, i in shared.value.specials.items():
             labels[i] = name.encode()

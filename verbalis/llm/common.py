@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,6 +57,14 @@ def space_of(spark: SparkSession) -> Workspace:
     return Workspace(spark)
 
 
+def lean() -> None:
+    """For Python workers, which live on from task to task: what earlier work freed goes back to the system."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``; a longer text makes a batch of its own."""
     for batch in batches:

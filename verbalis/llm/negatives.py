@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from verbalis.llm.common import lean
 from verbalis.session import Workspace
 
 #: Entries of each half's codebook, rows that the codebooks are fitted on, rows of a chunk of a cell.
@@ -201,7 +202,7 @@ def _compare(index: MultiIndex, windows: int, same: bool, best: int, id_type: pa
 
         A chunk's rows stand in order of their ids, so a stable sort by score leaves ties in that order.
         """
-        pa.set_memory_pool(pa.system_memory_pool())
+        lean()
         if not len(chunks) or not len(requests):
             return schema.empty_table()
         chunk = chunks.slice(0, 1).to_pylist()[0]

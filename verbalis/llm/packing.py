@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import small_batches
+from verbalis.llm.common import lean, small_batches
 from verbalis.session import Workspace
 
 #: Chunks of text whose ids one Python worker remembers, and the bytes they may take; further ones are encoded each time.
@@ -142,7 +142,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        pa.set_memory_pool(pa.system_memory_pool())
+        lean()
         encoder = ChunkedTokenizer.of(tokenizer)
         for batch in small_batches(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -219,7 +219,7 @@ def _pack_group(limit: int, turn: int):
 
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         """Pack one group anew, unless its former bins are as few as a lower bound or as a new packing of it."""
-        pa.set_memory_pool(pa.system_memory_pool())
+        lean()
         rows = rows.drop_columns(["_group"]).sort_by(keys)
         lengths, former = rows.column("length").to_numpy(), rows.column("sequence_id").to_numpy()
         before = len(np.unique(former))

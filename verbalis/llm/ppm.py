@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -11,28 +13,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from verbalis.llm.common import fold, small_batches
-from verbalis.llm.texthash import U, mix, words_of
+from verbalis.llm.common import fold, lean, small_batches
+from verbalis.llm.texthash import U, Words, mix, words_of
 from verbalis.session import Workspace
 
 #: Bytes that no UTF-8 text contains: before the text, and its end, which is a symbol of the alphabet.
 BEFORE, END = 0xFF, 0xFE
 ALPHABET = 257
 ORDER = 5
-BLOCK_BYTES = 40 << 20
+#: A block ends at so many bytes of text, or at so many different grams and words, whichever comes first.
+BLOCK_BYTES, BLOCK_KEYS = 48 << 20, 1_600_000
+#: Bytes of text that are worked on at a time; longer texts are cut into segments behind white space.
 CHUNK = 1 << 20
-DOCS, GRAMS, WORDS = 0, 1, 2
+#: Keys of words have the sign bit, keys of grams do not reach it.
+WORD = U(1 << 63)
 
 
-def gram_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(context and symbol of every position as one number, where each text starts): ``order`` bytes, then the symbol."""
-    head = bytes([BEFORE]) * order
-    data = np.frombuffer(b"".join(head + t + bytes([END]) for t in texts), np.uint8).astype(U)
+class Segments(NamedTuple):
+    """Lower-cased texts or parts of them, the bytes before each one, and whether the text ends with it."""
+
+    texts: list[bytes]
+    heads: list[bytes]
+    last: list[bool]
+
+
+def gram_keys(parts: Segments, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context and symbol of every position as one number, where each part starts): ``order`` bytes, then the symbol."""
+    data = b"".join(h + t + (bytes([END]) if x else b"") for h, t, x in zip(parts.heads, parts.texts, parts.last))
+    data = np.frombuffer(data, np.uint8).astype(U)
     keys = np.zeros(max(0, len(data) - order), U)
     for j in range(order + 1):
-        keys = (keys << U(8)) | data[j : j + len(keys)]
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    return keys[(keys & U(255)) != BEFORE], np.cumsum(sizes) - sizes
+        keys <<= U(8)
+        keys |= data[j : j + len(keys)]
+    sizes = np.fromiter(map(len, parts.texts), np.int64, len(parts.texts)) + np.array(parts.last, np.int64)
+    starts = np.cumsum(sizes) - sizes
+    # the key at a place has its symbol ``order`` bytes on; keys whose symbol stands in a head belong to no part
+    heads = (starts + order * np.arange(len(starts)))[1:, None] + np.arange(order) - order
+    inside = np.ones(len(keys), bool)
+    inside[heads.ravel() if len(heads) else []] = False
+    return keys[inside], starts
+
+
+def word_keys(texts: list[bytes]) -> Words:
+    words = words_of(texts)
+    return words._replace(hash=words.hash | WORD)
 
 
 class _Counts:
@@ -45,8 +69,8 @@ class _Counts:
     def add(self, keys: np.ndarray, counted: bool) -> None:
         found, n = np.unique(keys, return_counts=True)
         self.parts.append((found, n if counted else np.zeros(len(found), np.int64)))
-        self.waiting += len(found)
-        if self.waiting > max(1 << 19, len(self.parts[0][0])):
+        self.waiting += len(found) if len(self.parts) > 1 else 0
+        if self.waiting > max(1 << 18, len(self.parts[0][0]) // 4):
             self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
@@ -59,54 +83,86 @@ class _Counts:
         self.waiting = 0
         return self.parts[0] if self.parts else (np.empty(0, U), np.empty(0, np.int64))
 
+    def size(self) -> int:
+        """How many keys there are, at most."""
+        return self.waiting + (len(self.parts[0][0]) if self.parts else 0)
 
-def _lowered(batch: pa.RecordBatch) -> list[bytes]:
-    return [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
 
+SEGMENT = pa.schema([("doc_id", pa.null()), ("held_out", pa.bool_()), ("text", pa.binary()), ("head", pa.binary()), ("last", pa.bool_()), ("cut", pa.int64())])
 
-def _blocks(order: int, block_bytes: int):
-    schema = pa.schema(
-        [("block", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("docs", pa.binary())]
-    )
 
-    def rows(block: int, kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+def segments(batch: pa.RecordBatch, order: int, number: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """The rows with lower-cased text; a row with a long text becomes several, marked with ``number``, that follow on.
+
+    Cuts stand behind white space, so no word is cut; a word longer than ``longest`` stays whole.
+    """
+    texts = [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
+    schema = SEGMENT.set(0, batch.schema.field("doc_id"))
+    begin = bytes([BEFORE]) * order
+    if len(texts) != 1 or len(texts[0]) <= longest:
+        rest = [pa.array(texts, pa.binary()), pa.array([begin] * len(texts)), pa.array([True] * len(texts)), pa.nulls(len(texts), pa.int64())]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *rest], schema=schema)
+        return
+    text, at = texts[0], 0
+    space = re.compile(rb"[\x20\x09-\x0D]")
+    while at < len(text):
+        found = space.search(text, at + longest)
+        end = found.end() if found else len(text)
+        head = (begin + text[max(0, at - order) : at])[-order:] if order else b""
+        one = [pa.array([text[at:end]], pa.binary()), pa.array([head]), pa.array([end == len(text)]), pa.array([number])]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *one], schema=schema)
+        at = end
+
+
+def _parts(batch: pa.RecordBatch, rows: np.ndarray | None = None) -> Segments:
+    columns = [batch.column(c).to_pylist() for c in ("text", "head", "last")]
+    if rows is not None:
+        columns = [[c[i] for i in rows] for c in columns]
+    return Segments(*columns)
+
+
+def _blocks(order: int, block_bytes: int, block_keys: int, longest: int):
+    schema = pa.schema([("block", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("docs", pa.binary())])
+
+    def rows(block: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(keys), 1 << 16):
             part = pa.array(keys[at : at + (1 << 16)].view(np.int64))
             size = len(part)
-            same = [pa.array(np.full(size, block)), pa.array(np.full(size, kind, np.int32))]
-            columns = [*same, part, pa.array(n[at : at + size]), pa.nulls(size, pa.binary())]
+            columns = [pa.array(np.full(size, block)), part, pa.array(n[at : at + size]), pa.nulls(size, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of texts: a row with the texts themselves, one per distinct gram and one per distinct word."""
-        pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between tasks
-        block = TaskContext.get().partitionId() << 32
+        """Blocks of texts: a row with the texts themselves, and one per distinct gram and word."""
+        lean()
+        block = number = TaskContext.get().partitionId() << 32
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        grams, words, out, size = _Counts(), _Counts(), None, 0
+        counts, out, size = _Counts(), None, 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
             out.close()
-            one = [pa.array([block]), pa.array([DOCS], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
+            one = [pa.array([block]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
             yield pa.RecordBatch.from_arrays([*one, pa.array([sink.getvalue().to_pybytes()])], schema=schema)
-            yield from rows(block, GRAMS, *grams.merged())
-            yield from rows(block, WORDS, *words.merged())
-
-        for batch in small_batches(batches, "text", CHUNK):
-            if out is None:
-                sink = pa.BufferOutputStream()
-                out = pa.ipc.new_stream(sink, batch.schema, options=options)
-            out.write_batch(batch)
-            texts = _lowered(batch)
-            learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-            for part in (True, False):
-                some = [t for t, x in zip(texts, learned) if x == part]
-                if some:
-                    grams.add(gram_keys(some, order)[0], part)
-                    words.add(words_of(some).hash, part)
-            size += sum(map(len, texts))
-            if size >= block_bytes:
-                yield from flushed()
-                block, grams, words, out, size = block + 1, _Counts(), _Counts(), None, 0
+            yield from rows(block, *counts.merged())
+
+        for given in small_batches(batches, "text", longest):
+            number += 1
+            for batch in segments(given, order, number, longest):
+                if out is None:
+                    sink = pa.BufferOutputStream()
+                    out = pa.ipc.new_stream(sink, batch.schema, options=options)
+                out.write_batch(batch)
+                learned = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+                for part in (True, False):
+                    some = np.flatnonzero(learned == part)
+                    if len(some):
+                        parts = _parts(batch, some)
+                        counts.add(gram_keys(parts, order)[0], part)
+                        counts.add(word_keys(parts.texts).hash, part)
+                        size += sum(map(len, parts.texts))
+                if size >= block_bytes or counts.size() >= block_keys:
+                    yield from flushed()
+                    block, counts, out, size = block + 1, _Counts(), None, 0
+                    lean()
         if out is not None:
             yield from flushed()
 
@@ -201,30 +257,25 @@ class _Lookup:
 
 
 def _score_block(order: int):
-    def score(key: tuple[pa.Scalar, ...], docs: pa.Table, values: pa.Table) -> pa.Table:
+    def score(docs: pa.Table, values: pa.Table) -> pa.Table:
         """Scores of one block's texts from the values of its grams and words."""
-        pa.set_memory_pool(pa.system_memory_pool())
-        kind = values.column("kind").to_numpy()
-        number = values.column("key").to_numpy().view(U)
-        value = values.column("value").to_numpy()
-        grams, words = kind == GRAMS, kind == WORDS
-        gram_at, gram_value = _Lookup(number[grams]), value[grams]
-        word_at, counts = _Lookup(number[words]), value[words]
-        word_value, new = np.log10(counts + 0.5), int(pa.compute.sum(values.column("new")).as_py() or 0)
+        lean()
+        keys = values.column("key").combine_chunks().to_numpy().view(U)
+        value = values.column("value").combine_chunks().to_numpy()
+        place = _Lookup(keys)
         out = []
         for batch in pa.ipc.open_stream(docs.column("docs")[0].as_py()):
-            texts = _lowered(batch)
-            keys, starts = gram_keys(texts, order)
-            score = np.add.reduceat(gram_value[gram_at(keys)], starts)
-            found = words_of(texts)
-            place = word_at(found.hash)
-            n = np.bincount(found.text, minlength=len(texts))
-            known = np.bincount(found.text, counts[place] > 0, len(texts)).astype(np.int64)
-            logs = np.bincount(found.text, word_value[place], len(texts))
-            columns = [batch.column("doc_id"), batch.column("held_out"), *map(pa.array, (n, known, logs, score))]
-            out.append(pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "words", "known", "logs", "score"]))
-        rows = pa.Table.from_batches(out)
-        return rows.append_column("new", pa.array(np.where(np.arange(len(rows)), 0, new)))  # once for the block
+            parts = _parts(batch)
+            grams, starts = gram_keys(parts, order)
+            score = np.add.reduceat(value[place(grams)], starts)
+            found = word_keys(parts.texts)
+            count = value[place(found.hash)]
+            n = np.bincount(found.text, minlength=len(parts.texts))
+            known = np.bincount(found.text, count > 0, len(parts.texts)).astype(np.int64)
+            logs = np.bincount(found.text, np.log10(count + 0.5), len(parts.texts))
+            columns = [batch.column(c) for c in ("doc_id", "held_out", "cut")] + [pa.array(x) for x in (n, known, logs, score)]
+            out.append(pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "cut", "words", "known", "logs", "score"]))
+        return pa.Table.from_batches(out)
 
     return score
 
@@ -235,6 +286,8 @@ def ppm_scores(
     held_out: Column | None = None,
     order: int = ORDER,
     block_bytes: int = BLOCK_BYTES,
+    block_keys: int = BLOCK_KEYS,
+    longest: int = CHUNK,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -244,12 +297,14 @@ def ppm_scores(
     up to ``order``, counted over all texts that are not held out. ``base_score`` is that of its words under their
     smoothed frequencies.
 
-    1. Texts are gathered in blocks; a block is written with the distinct grams and words in it and their counts.
+    1. Texts are gathered in blocks; a block is written with the distinct grams and words in it and their counts. It ends
+       at ``block_keys`` of them or at ``block_bytes`` of text, so its memory is bounded whatever the texts are. Long texts
+       are cut behind white space, with the context carried on; their parts may lie in several blocks.
     2. Counts are summed over blocks, and each gram gets its probability (``trie_values``).
     3. The values that a block needs come back to it by a join, and its texts are scored. So a task never holds the trie,
        which may grow with the corpus, only its own block's share, and nothing is broadcast.
 
-    Words are told apart by 64-bit hashes; among 100 million different words, two share one in 1 of 3,700 corpora.
+    Words are told apart by 63-bit hashes; among 100 million different words, two share one in 1 of 1,800 corpora.
     Null text is empty: it has only its end. A null id counts as an empty text for the fold. Rows that repeat an id are
     rows of their own. Without training texts all symbols are equally likely. Empty tables give an empty result.
     """
@@ -260,26 +315,25 @@ def ppm_scores(
     n_bytes, train_docs = size[0] or 0, size[1] or 0
     cores = docs.sparkSession.sparkContext.defaultParallelism
     wanted = max(-(-n_bytes // block_bytes), min(cores, -(-n_bytes // (block_bytes // 8))), 1)
-    schema = "block long, kind int, key long, n long, docs binary"
-    blocks = space.keep(rows.coalesce(wanted).mapInArrow(_blocks(order, block_bytes), schema), "ppm_blocks")
-    grams = blocks.filter(F.col("kind") == GRAMS).select("block", "key", "n")
-    model = space.keep(grams.groupBy("key").agg(F.sum("n").alias("n")), "grams")
-    values = trie_values(model, order, space)
-    gram_values = grams.select("block", "key").join(values, "key")
-    gram_values = gram_values.select("block", F.lit(GRAMS).alias("kind"), "key", "value", F.lit(0).cast("long").alias("new"))
-    word = Window.partitionBy("key")
-    words = blocks.filter(F.col("kind") == WORDS).select("block", "key", "n")
-    count = F.sum("n").over(word)
-    # one block of each training word reports it, so the number of different words needs no further shuffle
-    new = ((F.min("block").over(word) == F.col("block")) & (count > 0)).cast("long")
-    word_values = words.select("block", F.lit(WORDS).alias("kind"), "key", count.cast("double").alias("value"), new.alias("new"))
-    texts = blocks.filter(F.col("kind") == DOCS).select(F.col("block").alias("home"), "docs")
-    found = texts.groupBy("home").cogroup(gram_values.unionByName(word_values).groupBy("block"))
-    fields = f"doc_id {id_type}, held_out boolean, words long, known long, logs double, score double, new long"
+    made = rows.coalesce(wanted).mapInArrow(_blocks(order, block_bytes, block_keys, longest), "block long, key long, n long, docs binary")
+    blocks = space.keep(made, "ppm_blocks")
+    used = blocks.filter("key IS NOT NULL").select("block", "key", "n")
+    counts = space.keep(used.groupBy("key").agg(F.sum("n").alias("n")), "ppm_counts")
+    words = counts.filter("key < 0")
+    sums = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
+    values = trie_values(counts.filter("key >= 0"), order, space)
+    values = values.unionByName(words.select("key", F.col("n").cast("double").alias("value")))
+    needed = used.select("block", "key").join(values, "key")
+    texts = blocks.filter("key IS NULL").select(F.col("block").alias("home"), "docs")
+    found = texts.groupBy("home").cogroup(needed.groupBy("block"))
+    fields = f"doc_id {id_type}, held_out boolean, cut long, words long, known long, logs double, score double"
     scored = space.keep(found.applyInArrow(_score_block(order), fields), "ppm_scored")
-    sums = scored.agg(F.sum("new"), F.sum(F.when(~F.col("held_out"), F.col("words")))).first()
-    different = (sums[0] or 0) + (1 if train_docs else 0)
-    tokens = (sums[1] or 0) + train_docs
+    several = scored.filter("cut IS NOT NULL").groupBy("cut").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "held_out")], *[F.sum(c).alias(c) for c in ("words", "known", "logs", "score")]
+    )
+    scored = scored.filter("cut IS NULL").drop("cut").unionByName(several.drop("cut"))
+    different = (sums[1] or 0) + (1 if train_docs else 0)
+    tokens = (sums[0] or 0) + train_docs
     scale = float(np.log10(tokens + 0.5 * (different + 1)))
     end = float(np.log10(train_docs + 0.5))
     return scored.select(

@@ -10,6 +10,8 @@ U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 _BASE = U(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2**64
 _powers: dict[str, np.ndarray] = {}
+#: Powers that a worker keeps; a longer batch makes its own and drops them.
+KEPT_POWERS = 1 << 21
 
 
 def nth(k: int | np.ndarray) -> np.ndarray:
@@ -36,16 +38,22 @@ LOWERED[65:91] += 32
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse."""
-    if not _powers or len(_powers["up"]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        down = U(pow(int(_BASE), -1, 1 << 64))
-        for name, base in (("up", _BASE), ("down", down)):
-            steps = np.full(size, base, U)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+    if n > KEPT_POWERS:
+        return _first_powers(n)
+    if len(_powers.get("up", ())) < n:
+        _powers["up"], _powers["down"] = _first_powers(1 << max(16, (n - 1).bit_length()))
     return _powers["up"], _powers["down"]
 
 
+def _first_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, U(pow(int(_BASE), -1, 1 << 64))):
+        steps = np.full(n, base, U)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps, out=steps))
+    return out[0], out[1]
+
+
 class Words(NamedTuple):
     """Words of all texts in order: text number, byte range in ``data`` and hash."""
 
