@@ -154,3 +154,32 @@ def test_edges(edges, none, space):
     rows = [(r.doc_id, r.text) for r in edges.collect()]
     assert found(B.near_copies(edges, space)) == brute(rows)
     assert B.near_copies(none, space).count() == 0
+
+
+def test_repeated_rows_without_ids_are_verified_once(make_docs, spark, space):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, text)] * 300 + [(None, text + " more")] * 300
+    assert B.near_copies(make_docs(rows), space).filter("class_size = 600").count() == 600
+    links = spark.read.parquet(f"{space.path}/links_1")
+    assert links.count() == 1
+
+
+def test_sizes_rule_out_only_what_cannot_link():
+    a, b = np.meshgrid(np.arange(0, 60), np.arange(0, 60))
+    best = np.divide(np.minimum(a, b), np.maximum(a, b), out=np.ones(a.shape), where=np.maximum(a, b) > 0)
+    assert (B.may_reach(a, b, 0.8) == (best >= 0.8 - 1e-12)).all()
+
+
+def test_crowd_of_many_sizes(make_docs, space, monkeypatch):
+    """One passage in common, texts of very different lengths: chunks by size lose no link."""
+    monkeypatch.setattr(B, "TILE", 3)
+    monkeypatch.setattr(B, "SIDE", 5)
+    draw = random.Random(9)
+    passage = [f"p{i}" for i in range(12)]
+    rows = []
+    for i in range(60):
+        body = [f"b{draw.randrange(10_000)}" for _ in range(draw.choice([0, 3, 8, 15, 60, 200]))]
+        rows.append((i, " ".join(passage + body)))
+        if i % 6 == 0:
+            rows.append((100 + i, " ".join(passage + body + ["end"])))
+    assert found(B.near_copies(make_docs(rows), space, bands=60, rows=1)) == brute(rows)

@@ -74,3 +74,17 @@ def test_components(spark, space):
     links = spark.createDataFrame(chain, "x long, y long")
     found = {r.node: r.component for r in components(links, space, "t").collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)} | {200: 200, 201: 200}
+
+
+def test_very_large_and_small_doubles_link(spark, space):
+    shapes = [[1.0, 2.0, 3.0], [2.0, 4.0, 6.5], [3.0, -1.0, 0.5]]
+    rows, n = [], 0
+    for size in (1.0, 1e200, 1e300, 1e-200, 1e-307, 5e-324):
+        for shape in shapes:
+            rows.append((n, [x * size for x in shape]))
+            n += 1
+    out = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), space)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    for i in range(15):
+        assert got[i][1] == (0 if i % 3 < 2 else 2)
+        assert got[i][0] >= (9 if i % 3 < 2 else 4)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,15 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import SPACE_RUN, columns_of, folded, small_batches, whole_row, whole_text
+from verbalis.llm.common import SPACE_RUN, columns_of, folded, lean, small_batches, whole_row, whole_text
 from verbalis.llm.components import components
 from verbalis.llm.texthash import U, mix, nth, shingles_of, words_of
 from verbalis.session import Workspace
 
 #: A pair of similarity 0.8 shares no band once in 190,000 pairs: (1 - 0.8 ** 6) ** 40.
 BANDS, ROWS = 40, 6
-#: Members of a bucket that are paired by a join; larger buckets are compared and verified in tiles of so many rows.
+#: Members of a bucket that are paired by a join; larger buckets are compared and verified in tiles.
 TILE = 64
+#: Members and bytes of text of one side of a tile, on average.
+SIDE, SIDE_BYTES = 512, 4 << 20
+#: Turns with drawn centres before all pairs of what is left are compared.
+DRAWS = 3
 TEXT_BYTES = 1 << 20
 
 
@@ -91,6 +96,7 @@ def plain_words(text: str | Column) -> Column:
 
 def _sketch(shingle: int, bands: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in small_batches(batches, "words", TEXT_BYTES):
             texts = [t.encode() for t in batch.column("words").to_pylist()]
             found = shingles_of(words_of(texts), len(texts), shingle)
@@ -118,6 +124,7 @@ def overlaps(left: list[bytes], right: list[bytes], shingle: int) -> np.ndarray:
 
 def _verify(shingle: int, similarity: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in small_batches(batches, "words_a", TEXT_BYTES // 4):
             a, b = ([t.encode() for t in batch.column(c).to_pylist()] for c in ("words_a", "words_b"))
             good = pa.array(overlaps(a, b, shingle) >= similarity)
@@ -162,6 +169,11 @@ def all_overlaps(left: list[bytes], right: list[bytes], shingle: int, wanted: np
                 yield start + i, low, np.divide(shared, joint, out=np.ones(m), where=joint > 0)
 
 
+def may_reach(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether multisets of so many shingles can overlap enough: their weighted Jaccard is at most the ratio of their sizes."""
+    return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-6
+
+
 def _tile(shingle: int, similarity: float):
     def tile(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         """Verified links of one tile, as many as it takes to join the components that its pairs join.
@@ -169,12 +181,14 @@ def _tile(shingle: int, similarity: float):
         All pairs of a tile share its bucket. A pair is compared in the lowest bucket it shares: as long as it is of two
         components, all its buckets are open.
         """
+        lean()
         bucket, low, high = (k.as_py() for k in key)
-        node, group, chunk = (rows.column(c).to_numpy() for c in ("node", "component", "chunk"))
+        node, group, chunk, weight = (rows.column(c).to_numpy() for c in ("node", "component", "chunk", "weight"))
         keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         words = rows.column("words")
         i, j = (np.flatnonzero(chunk == c) for c in (low, high))
         wanted = group[i][:, None] != group[j][None, :]
+        wanted &= may_reach(weight[i][:, None], weight[j][None, :], similarity)
         if low == high:
             wanted &= node[i][:, None] < node[j][None, :]
         for k in range(keys.shape[1]):
@@ -194,7 +208,7 @@ def _tile(shingle: int, similarity: float):
 
 
 class _Search:
-    """Candidate pairs are found in three turns; each turn leaves out what earlier links have joined already."""
+    """Candidate pairs are found in turns; each turn leaves out what earlier links have joined already."""
 
     def __init__(self, nodes: DataFrame, texts: DataFrame, space: Workspace, shingle: int, similarity: float):
         self.space, self.texts, self.shingle, self.similarity = space, texts, shingle, similarity
@@ -220,7 +234,8 @@ class _Search:
         parted = named.groupBy("bucket").agg(
             F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
         )
-        return named.join(parted.filter("least <> most").select("bucket", "n"), "bucket")
+        parted = parted.filter("least <> most").select("bucket", "n")
+        return named.join(parted, "bucket").join(self.texts.select("node", "weight"), "node")
 
     def first(self) -> DataFrame:
         """Every member with the smallest one of its bucket: the copies of one text mostly share that centre."""
@@ -230,35 +245,61 @@ class _Search:
         pairs = self.crowded.filter("node <> centre")
         return pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
 
-    def second(self) -> DataFrame:
+    def reachable(self, a: str, b: str) -> Column:
+        """``may_reach`` for columns: what the sizes rule out needs no text."""
+        return F.least(a, b) >= F.greatest(a, b) * self.similarity - 1e-6
+
+    def second(self, turn: int) -> DataFrame:
         """Every member of an open bucket with a centre drawn for that bucket, so families get centres in many places."""
-        rows = self.space.keep(self.open_members().withColumn("draw", F.xxhash64("bucket", "node")), "open_2")
-        drawn = rows.groupBy("bucket").agg(F.min("draw").alias("draw"))
-        centres = rows.join(drawn, ["bucket", "draw"]).groupBy("bucket").agg(
-            F.min("node").alias("centre"), F.min("component").alias("own")
+        draw = F.xxhash64("bucket", "node", F.lit(turn))
+        rows = self.space.keep(self.open_members().withColumn("draw", draw), f"open_draw_{turn}")
+        first = F.min(F.struct("draw", "node", "component", "weight")).alias("first")
+        centres = rows.groupBy("bucket").agg(first).select(
+            "bucket", *[F.col(f"first.{c}").alias(n) for c, n in (("node", "centre"), ("component", "own"), ("weight", "size"))]
         )
-        pairs = rows.join(centres, "bucket").filter("component <> own")
+        pairs = rows.join(centres, "bucket").filter((F.col("component") != F.col("own")) & self.reachable("weight", "size"))
         return pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
 
     def third(self) -> DataFrame:
         """All pairs across components of buckets still open that have at most ``TILE`` members."""
         self.open = self.space.keep(self.open_members(), "open_3")
         small = self.open.filter(F.col("n") <= TILE)
-        other = small.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-        pairs = small.join(other, "bucket").filter("node < b and component <> other")
+        other = small.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"), F.col("weight").alias("size"))
+        pairs = small.join(other, "bucket").filter("node < b and component <> other").filter(self.reachable("weight", "size"))
         return pairs.select(F.col("node").alias("a"), "b").distinct()
 
     def crowd(self) -> DataFrame:
         """Links across components of the larger ones: all their pairs, compared and verified in tiles, so that a crowd
-        with one passage in common makes no rows for its pairs."""
-        chunks = F.ceil(F.col("n") / TILE)
-        large = self.open.filter(F.col("n") > TILE).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-        # copies that repeat an id are several rows of one node
-        texts = self.texts.join(large.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-        large = large.join(self.nodes.select("node", "keys"), "node").join(texts, "node")
-        tiles = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+        with one passage in common makes no rows for its pairs.
+
+        Members are parted by size first: those of one class of sizes can only overlap enough with those of the same and
+        the next class. Chunks of a class have bounded numbers and bytes, and a tile is made of two chunks.
+        """
+        large = self.open.filter(F.col("n") > TILE)
+        texts = self.texts.drop("weight").join(large.select("node").distinct(), "node", "left_semi")
+        sized = texts.select("node", F.octet_length("words").cast("long").alias("bytes"))
+        large = large.join(sized, "node").withColumn("class", F.floor(F.log(F.greatest("weight", F.lit(1))) / -math.log(self.similarity) + 1e-9))
+        size = large.groupBy("bucket", "class").agg(F.count("*").alias("m"), F.sum("bytes").alias("bytes"))
+        size = size.select("bucket", "class", F.ceil(F.greatest(F.col("m") / SIDE, F.col("bytes") / SIDE_BYTES)).alias("chunks"))
+        size = self.space.keep(size, "crowd_sizes")
+        after = size.select("bucket", (F.col("class") - 1).alias("class"), F.col("chunks").alias("next"))
+        before = size.select("bucket", (F.col("class") + 1).alias("class"), F.col("chunks").alias("last"))
+        size = size.join(after, ["bucket", "class"], "left").join(before, ["bucket", "class"], "left")
+        rows = large.drop("bytes").join(size, ["bucket", "class"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+        # chunks are numbered (class, chunk); a member meets its own class, and the classes on both sides
+        number = lambda level, chunk: level * (1 << 32) + chunk
+        own = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda k: number(F.col("class"), k))
+        none = F.array().cast("array<bigint>")
+        up = F.when(F.col("next").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col("next") - 1), lambda k: number(F.col("class") + 1, k)))
+        down = F.when(F.col("last").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col("last") - 1), lambda k: number(F.col("class") - 1, k)))
+        rows = rows.withColumn("chunk", number(F.col("class"), F.col("chunk")))
+        tiles = rows.withColumn("other", F.explode(F.concat(own, F.coalesce(up, none), F.coalesce(down, none))))
         tiles = tiles.withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
-        tiles = tiles.select("bucket", "low", "high", "node", "component", "chunk", "keys", "words")
+        # tiles with members of one component only have nothing to compare
+        alive = tiles.groupBy("bucket", "low", "high").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        alive = alive.filter("least <> most").drop("least", "most")
+        tiles = tiles.select("bucket", "low", "high", "node", "component", "chunk", "weight").join(alive, ["bucket", "low", "high"])
+        tiles = tiles.join(self.nodes.select("node", "keys"), "node").join(texts, "node")
         tile = _tile(self.shingle, self.similarity)
         return tiles.groupBy("bucket", "low", "high").applyInArrow(tile, "a long, b long").distinct()
 
@@ -275,28 +316,36 @@ def _classes(
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("doc_id"), plain_words(text_col).alias("words"))
     given = given.withColumn("print", print_of(F.col("words")))
-    sketched = given.mapInArrow(_sketch(shingle, bands, rows), f"doc_id {id_type}, print string, keys array<long>")
-    sketched = space.keep(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
-    texts = sketched.groupBy("print").agg(
-        F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("copies")
+    made = given.mapInArrow(_sketch(shingle, bands, rows), f"doc_id {id_type}, print string, keys array<long>")
+    sketched = space.keep(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # rows that repeat a text and its id are counted first, so that one of them can stand for the text
+    repeats = sketched.groupBy("print", "doc_id").agg(F.min("row").alias("row"), F.count("*").alias("n"))
+    texts = repeats.groupBy("print").agg(
+        F.min("row").alias("node"), F.min("doc_id").alias("least"), F.sum("n").alias("copies"), F.min_by("n", "row").alias("n")
     )
     texts = space.keep(texts, "texts")
-    nodes = sketched.join(texts.select(F.col("node").alias("row")), "row", "left_semi")
-    nodes = space.keep(nodes.select(F.col("row").alias("node"), "print", "doc_id", "keys"), "nodes")
+    nodes = sketched.drop("print").join(texts.select(F.col("node").alias("row"), "print", (F.col("n") > 1).alias("twins")), "row")
+    nodes = space.keep(nodes.withColumnRenamed("row", "node"), "nodes")
     search = _Search(nodes, given, space, shingle, similarity)
     pairs = space.keep(search.first(), "pairs_1")
     paired = search.crowded.select("node").distinct()
-    wanted = nodes.select("node", "print", "doc_id").join(paired, "node", "left_semi")
-    words = given.join(wanted.withColumnRenamed("doc_id", "id"), "print")
-    words = words.filter(F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "words")
-    search.texts = space.keep(words, "words")
+    wanted = nodes.select("node", "print", "doc_id", "twins").join(paired, "node", "left_semi")
+    found = given.join(wanted.withColumnRenamed("doc_id", "id"), "print")
+    found = found.filter(F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "twins", "words")
+    one_each = found.filter("twins").groupBy("node").agg(F.first("words").alias("words"))
+    one_each = found.filter("not twins").select("node", "words").unionByName(one_each)
+    spaces = F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit("")))
+    weight = F.when(F.length("words") == 0, 0).otherwise(F.greatest(spaces + 2 - shingle, F.lit(1)))  # shingles of the text
+    search.texts = space.keep(one_each.withColumn("weight", weight.cast("long")), "words")
     search.verified(pairs, "1")
-    pairs = space.keep(search.second(), "pairs_2")
-    if not pairs.isEmpty():
-        search.verified(pairs, "2")
-        pairs = space.keep(search.third(), "pairs_3")
-        if not search.open.isEmpty():
-            search.verified(pairs, "3", search.crowd())
+    for turn in range(DRAWS):
+        pairs = space.keep(search.second(turn), f"pairs_draw_{turn}")
+        if pairs.isEmpty():
+            break
+        search.verified(pairs, f"draw_{turn}")
+    pairs = space.keep(search.third(), "pairs_all")
+    if not search.open.isEmpty():
+        search.verified(pairs, "all", search.crowd())
     space.drop("words")
     named = texts.join(search.groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return sketched.select("doc_id", "print"), named.select("print", "component", "least", "copies")
@@ -317,7 +366,7 @@ def near_copies(
     Two texts link if the multisets of their word shingles have a weighted Jaccard of at least ``similarity``; classes
     are the components of links. Texts of equal words (A-Z lower-cased) are one text, so copies cost no pairs. Texts that
     share a band are candidates: first with one centre per bucket, then with centres drawn per bucket, and at last, in
-    buckets that still hold several components, with all members of other components. Every candidate is verified by
+    buckets that still hold several components, with all members of other components whose sizes do not rule a link out. Every candidate is verified by
     its words before it counts.
 
     Texts of fewer words than a shingle have one shingle; texts without words (null, empty, white space) are one class.

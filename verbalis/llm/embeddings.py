@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbalis.llm.common import lean
 from verbalis.llm.components import components
 from verbalis.session import Workspace
 
@@ -35,15 +36,27 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scale, error
 
 
+def scaled(given: np.ndarray) -> np.ndarray:
+    """Vectors in double precision, each times the power of two that brings its largest component to between 1/2 and 1.
+
+    That changes no digit, and no square or product of them over- or underflows.
+    """
+    vectors = given.astype(np.float64)
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors**2).sum(axis=1))
+
+
 def _pack_block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     """One row for a block: its vectors as given, codes, scales and errors."""
+    lean()
     dim, block = (k.as_py() for k in key)
     given = rows.column("_vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-    vectors = given.astype(np.float64)
-    largest = np.abs(vectors).max(axis=1, keepdims=True)  # so that no square over- or underflows
-    unit = vectors / largest
-    unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
-    codes, scale, error = quantised(unit)
+    vectors = scaled(given)
+    codes, scale, error = quantised(vectors / lengths(vectors)[:, None])
     keys, copies = (rows.column(c).to_numpy().astype(np.int64) for c in ("_key", "_copies"))
     parts = [x.tobytes() for x in (keys, copies, given, codes, scale, error)]
     ints = [pa.array([x], pa.int32()) for x in (dim, block)]
@@ -72,7 +85,8 @@ def tile_links(a: dict, b: dict, same: bool, threshold: float) -> tuple[np.ndarr
     slack = length_a * b["error"].max() + a["error"] * length_b + a["error"] * b["error"].max()
     floor = ((threshold - slack - 2e-6) / a["scale"]).astype(np.float32)
     scale_b = b["scale"].astype(np.float32)
-    norm_a, norm_b = (np.sqrt((x["vectors"].astype(np.float64) ** 2).sum(axis=1)) for x in (a, b))
+    vectors_a, vectors_b = scaled(a["vectors"]), scaled(b["vectors"])
+    norm_a, norm_b = lengths(vectors_a), lengths(vectors_b)
     rows, columns = [], []
     for at in range(0, len(left), STRIP):
         product = _products(left[at : at + STRIP], right)
@@ -83,7 +97,7 @@ def tile_links(a: dict, b: dict, same: bool, threshold: float) -> tuple[np.ndarr
             r, c = r[c > r], c[c > r]
         for k in range(0, len(r), PAIRS):
             i, j = r[k : k + PAIRS], c[k : k + PAIRS]
-            cosine = (a["vectors"][i].astype(np.float64) * b["vectors"][j]).sum(axis=1) / (norm_a[i] * norm_b[j])
+            cosine = (vectors_a[i] * vectors_b[j]).sum(axis=1) / (norm_a[i] * norm_b[j])
             hit = cosine >= threshold
             rows.append(i[hit])
             columns.append(j[hit])
@@ -119,6 +133,7 @@ def _tiles(threshold: float, kind: type):
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each pair of blocks one row per linked vector: links in the tile, and the smallest vector reached there."""
+        lean()
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {n: batch.column(n)[row].as_py() for n in batch.schema.names}

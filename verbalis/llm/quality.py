@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import fold, small_batches
+from verbalis.llm.common import fold, lean, small_batches
 from verbalis.llm.texthash import words_of
 from verbalis.session import Workspace
 
@@ -271,6 +271,7 @@ def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in small_batches(batches, "text", 1 << 20):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             values = pa.array(text_features(texts).ravel())
@@ -300,6 +301,7 @@ def scored(features: DataFrame, model: AdditiveModel) -> DataFrame:
     id_type = features.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             values = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
             names = ["doc_id", "score"]
@@ -348,6 +350,7 @@ def good_texts(docs: DataFrame, labels: DataFrame, space: Workspace, threshold:
     model = learn_quality(featured(drawn, id_col, text_col), known)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in small_batches(batches, text_col, 1 << 20):
             texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(model.score(text_features(texts)) >= threshold))
