@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import SPACE_RUN, columns_of, folded, lean, small_batches, whole_row, whole_text
+from verbalis.llm.common import SPACE_RUN, columns_of, folded, lean, short_batches, small_batches, whole_row, whole_text
 from verbalis.llm.components import components
 from verbalis.llm.texthash import U, mix, nth, shingles_of, words_of
 from verbalis.session import Workspace
@@ -23,7 +23,7 @@ TILE = 64
 SIDE, SIDE_BYTES = 512, 4 << 20
 #: Turns with drawn centres before all pairs of what is left are compared.
 DRAWS = 3
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 
 
 def _unit(seed: np.ndarray, k: int) -> np.ndarray:
@@ -223,7 +223,8 @@ class _Search:
         b = self.texts.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
         both = pairs.join(a, "a").join(b, "b")
         found = both.mapInArrow(_verify(self.shingle, self.similarity), "a long, b long")
-        found = self.space.keep(found if crowd is None else found.unionByName(crowd), f"links_{name}")
+        with short_batches(self.space.spark):
+            found = self.space.keep(found if crowd is None else found.unionByName(crowd), f"links_{name}")
         self.links = found if self.links is None else self.links.unionByName(found)
         self.groups = components(self.links, self.space, f"groups_{name}")
 
@@ -317,7 +318,8 @@ def _classes(
     given = docs.select(F.col(id_col).alias("doc_id"), plain_words(text_col).alias("words"))
     given = given.withColumn("print", print_of(F.col("words")))
     made = given.mapInArrow(_sketch(shingle, bands, rows), f"doc_id {id_type}, print string, keys array<long>")
-    sketched = space.keep(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    with short_batches(docs.sparkSession):
+        sketched = space.keep(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
     # rows that repeat a text and its id are counted first, so that one of them can stand for the text
     repeats = sketched.groupBy("print", "doc_id").agg(F.min("row").alias("row"), F.count("*").alias("n"))
     texts = repeats.groupBy("print").agg(

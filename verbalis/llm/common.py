@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +66,18 @@ def lean() -> None:
         libc.malloc_trim(0)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """While tables of whole texts are kept, they reach Python workers in batches of at most so many rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``; a longer text makes a batch of its own."""
     for batch in batches:

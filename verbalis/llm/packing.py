@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import lean, small_batches
+from verbalis.llm.common import lean, short_batches, small_batches
 from verbalis.session import Workspace
 
 #: Chunks of text whose ids one Python worker remembers, and the bytes they may take; further ones are encoded each time.
@@ -317,5 +317,6 @@ def pack_documents(
     id. An empty table gives an empty result; columns besides id and text are not read.
     """
     pieces = token_pieces(docs, tokenizer, limit, end_id, id_col, text_col)
-    pieces = space.keep(pieces, f"pieces_{uuid.uuid4().hex}")
+    with short_batches(docs.sparkSession):
+        pieces = space.keep(pieces, f"pieces_{uuid.uuid4().hex}")
     return pack_pieces(pieces, space, limit, **options)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from verbalis.llm.common import fold, lean, small_batches
+from verbalis.llm.common import fold, lean, short_batches, small_batches
 from verbalis.llm.texthash import U, Words, mix, words_of
 from verbalis.session import Workspace
 
@@ -24,7 +24,7 @@ ORDER = 5
 #: A block ends at so many bytes of text, or at so many different grams and words, whichever comes first.
 BLOCK_BYTES, BLOCK_KEYS = 48 << 20, 1_600_000
 #: Bytes of text that are worked on at a time; longer texts are cut into segments behind white space.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Keys of words have the sign bit, keys of grams do not reach it.
 WORD = U(1 << 63)
 
@@ -316,7 +316,8 @@ def ppm_scores(
     cores = docs.sparkSession.sparkContext.defaultParallelism
     wanted = max(-(-n_bytes // block_bytes), min(cores, -(-n_bytes // (block_bytes // 8))), 1)
     made = rows.coalesce(wanted).mapInArrow(_blocks(order, block_bytes, block_keys, longest), "block long, key long, n long, docs binary")
-    blocks = space.keep(made, "ppm_blocks")
+    with short_batches(docs.sparkSession):
+        blocks = space.keep(made, "ppm_blocks")
     used = blocks.filter("key IS NOT NULL").select("block", "key", "n")
     counts = space.keep(used.groupBy("key").agg(F.sum("n").alias("n")), "ppm_counts")
     words = counts.filter("key < 0")

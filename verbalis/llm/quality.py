@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbalis.llm.common import fold, lean, small_batches
+from verbalis.llm.common import fold, lean, short_batches, small_batches
 from verbalis.llm.texthash import words_of
 from verbalis.session import Workspace
 
@@ -272,7 +272,7 @@ def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", 1 << 18):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             values = pa.array(text_features(texts).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(FEATURES), pa.int32()), values)
@@ -326,7 +326,8 @@ def quality_scores(
     text alone. Null and empty texts have a score like any other. A null id is never labelled. Rows that repeat an id
     are rows of their own. Without labels every score is 0.5. Empty tables give an empty result.
     """
-    features = space.keep(featured(docs, id_col, text_col), "features")
+    with short_batches(docs.sparkSession):
+        features = space.keep(featured(docs, id_col, text_col), "features")
     model = learn_quality(features, labels_for(labels, id_col, label_col), fit_rows)
     out = scored(features, model)
     return out.select(
@@ -344,14 +345,18 @@ def good_texts(docs: DataFrame, labels: DataFrame, space: Workspace, threshold:
     """
     id_col, text_col = names.get("id_col", "doc_id"), names.get("text_col", "text")
     known = labels_for(labels, id_col, names.get("label_col", "quality"))
-    train = docs.filter(fold(F.col(id_col)) != 0).select(id_col, text_col)
-    train = train.join(known.select(F.col("doc_id").alias("_id")), F.col(id_col) == F.col("_id"), "left_semi")
-    drawn = train.orderBy(F.xxhash64(id_col), id_col).limit(names.get("fit_rows", FIT_ROWS))
-    model = learn_quality(featured(drawn, id_col, text_col), known)
+    fit_rows = names.get("fit_rows", FIT_ROWS)
+    train = docs.filter(fold(F.col(id_col)) != 0).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    drawn = train.select("_id").join(known.select(F.col("doc_id").alias("_id")), "_id", "left_semi").distinct()
+    drawn = space.keep(drawn.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows), "drawn_ids")  # ids alone are sorted
+    texts = train.join(F.broadcast(drawn), "_id", "left_semi")
+    with short_batches(docs.sparkSession):
+        features = space.keep(featured(texts, "_id", "_text"), "drawn_features")
+    model = learn_quality(features, known, fit_rows)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
-        for batch in small_batches(batches, text_col, 1 << 20):
+        for batch in small_batches(batches, text_col, 1 << 18):
             texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(model.score(text_features(texts)) >= threshold))
 

@@ -11,7 +11,7 @@ _STEP = 0x9E3779B97F4A7C15
 _BASE = U(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2**64
 _powers: dict[str, np.ndarray] = {}
 #: Powers that a worker keeps; a longer batch makes its own and drops them.
-KEPT_POWERS = 1 << 21
+KEPT_POWERS = 1 << 19
 
 
 def nth(k: int | np.ndarray) -> np.ndarray:
