@@ -18,11 +18,11 @@ from verbalis.session import Workspace
 #: A pair of similarity 0.8 shares no band once in 190,000 pairs: (1 - 0.8 ** 6) ** 40.
 BANDS, ROWS = 40, 6
 #: Members of a bucket that are paired by a join; larger buckets are compared and verified in tiles.
-TILE = 64
+TILE = 16
 #: Members and bytes of text of one side of a tile, on average.
-SIDE, SIDE_BYTES = 512, 4 << 20
+SIDE, SIDE_BYTES = 256, 4 << 20
 #: Turns with drawn centres before all pairs of what is left are compared.
-DRAWS = 3
+DRAWS = 1
 TEXT_BYTES = 1 << 18
 
 
