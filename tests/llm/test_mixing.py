@@ -83,3 +83,14 @@ def test_overlapping_sources(spark, space):
     taken = mixing.times_taken(docs, mix, F.col("sources"))
     words = {tuple(r.p): r.w for r in taken.groupBy(F.col("sources").alias("p")).agg(F.sum(F.col("size") * F.col("times_taken")).alias("w")).collect()}
     assert abs(sum(words.values()) - sum(mix.targets)) <= 20
+
+
+def test_rows_without_ids_meet_their_targets(make_docs, space):
+    rows = [(None, f"w{i} " * (i % 40 + 1), "a") for i in range(50)] + [(7, f"v{i} " * (i % 30 + 1), "b") for i in range(60)]
+    rows += [(100 + i, "x y z " * (i % 20 + 1), "c") for i in range(80)]
+    docs, member, size = make_docs(rows), F.array("source"), mixing.words_in("text")
+    mix = mixing.solve_mix(docs, space, member, size)
+    taken = mixing.times_taken(docs, mix, member).withColumn("size", size)
+    sums = taken.groupBy("source").agg(F.sum(F.col("size") * F.col("times_taken")).alias("n"), F.max("size").alias("m")).collect()
+    for r in sums:
+        assert abs(r.n - mix.targets[mix.sources.index(r.source)]) <= r.m / 2 + 1

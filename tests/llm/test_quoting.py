@@ -110,3 +110,14 @@ def test_edges(spark, space):
     assert by[None, 5] == ("x", None, "root", 0) and by[1, None] == ("", None, None, None)
     assert by[2, 3] == ("x", None, "root", 0) and by[3, 1] == ("", 0, "quote", 1)
     assert quoting.reply_ordered(table.limit(0), space).count() == 0
+
+
+def test_a_plain_thread_has_no_branches(spark, space):
+    n = 3000
+    rows = [(1, t, "u", f"> line {t - 1}\nline {t}" if t else "line 0") for t in range(n)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = quoting.reply_ordered(messages, space).orderBy("turn").collect()
+    assert [r.depth for r in out] == [0] * n
+    assert [r.reply_order for r in out] == list(range(n))
+    assert [r.parent_turn for r in out] == [None, *range(n - 1)]
+    assert {r.link for r in out[1:]} == {"quote"}

@@ -120,9 +120,10 @@ class Mix:
     seed: int
 
 
-def draw(seed: int, id_col: str) -> Column:
-    """The place of a document in the seeded order."""
-    return F.xxhash64(F.lit(seed), F.col(id_col))
+def draw(seed: int, docs: DataFrame, id_col: str) -> Column:
+    """The place of a row in the seeded order: by its id and its other columns, so rows that share an id are apart."""
+    hashed = [f.name for f in docs.schema if f.name != id_col and f.dataType.typeName() not in ("map", "variant")]
+    return F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), *[F.col(f"`{c}`") for c in sorted(hashed)])
 
 
 def _cuts(sized: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -191,11 +192,11 @@ def solve_mix(
 
     ``membership`` is an array of source names, null being a source too; ``weights`` gives the weight of the i-th source
     in code-point order, null last (1, 2, 3 and again, if it is not given). Documents are summed up by pattern, so the
-    driver sees one row per pattern, at most ``MAX_PATTERNS`` (checked). Documents with equal ids share their place in
-    the seeded order and are taken together. Words still missing or too many at a cut are evened out by one document.
+    driver sees one row per pattern, at most ``MAX_PATTERNS`` (checked). Rows that are equal in all columns share their
+    place in the seeded order and are taken together. Words still missing or too many at a cut are evened out by one document.
     """
     sized = docs.select(
-        F.array_sort(F.array_distinct(membership)).alias("_pattern"), size.alias("_size"), draw(seed, id_col).alias("_hash")
+        F.array_sort(F.array_distinct(membership)).alias("_pattern"), size.alias("_size"), draw(seed, docs, id_col).alias("_hash")
     )
     sized = space.keep(sized, "mix_sizes")
     found = sized.groupBy("_pattern").agg(F.sum("_size").alias("n")).limit(MAX_PATTERNS + 1).collect()
@@ -225,7 +226,7 @@ def solve_mix(
 
 def _taken(docs: DataFrame, mix: Mix, membership: Column, id_col: str) -> DataFrame:
     """``_row`` and ``_times``, how often the mix takes it. One narrow pass: patterns are few (checked)."""
-    place = draw(mix.seed, id_col).alias("_place")
+    place = draw(mix.seed, docs, id_col).alias("_place")
     rows = docs.select(whole_row(docs), F.array_sort(F.array_distinct(membership)).alias("_pattern"), place)
     joined = rows.join(F.broadcast(mix.cuts), rows["_pattern"].eqNullSafe(mix.cuts["pattern"]), "left")
     inside = F.coalesce(F.col("_place") <= F.col("cut"), F.lit(False))

@@ -156,7 +156,9 @@ def reply_ordered(
     """One row per message: conversation, turn, role, text without quotes, parent_turn, link, depth, reply_order.
 
     A message that quotes replies to the message it quotes (``link`` is ``quote``), any other to the one before it
-    (``previous``); the first is the ``root``. ``depth`` counts the branches that lead to a message, and
+    (``previous``); the first is the ``root``. Quotes are matched by whole lines and whole paragraphs; a quote of a part of
+    a line finds nothing. A branch begins where a message quotes another one than that right before it, so a plain thread
+    has none, however long. ``depth`` counts the branches that lead to a message, and
     ``reply_order`` counts messages from 0 so that every message follows the one it replies to: first the answer that
     comes next, then later ones, each with all that follows from it.
 
@@ -173,8 +175,9 @@ def reply_ordered(
     parents = parents.select(F.col("conv").alias("c"), F.col("turn").alias("t"), "parent")
     nodes = given.select("conv", "turn").filter("turn is not null").distinct()
     nodes = nodes.join(parents, F.col("conv").eqNullSafe(F.col("c")) & (F.col("turn") == F.col("t")), "left")
-    nodes = nodes.select("conv", "turn", "parent", F.when(F.col("parent").isNotNull(), F.col("turn")).alias("start"))
-    nodes = latest(nodes, ["conv"], "turn", "turn", "previous", own=False)
+    nodes = latest(nodes.select("conv", "turn", "parent"), ["conv"], "turn", "turn", "previous", own=False)
+    # a message that quotes the one right before it goes on in its branch
+    nodes = nodes.withColumn("start", F.when(F.col("parent") != F.col("previous"), F.col("turn")))
     nodes = latest(nodes, ["conv"], "turn", "start", "branch", own=True)
     first = F.lit(-(1 << 62))  # the branch that a conversation begins with
     nodes = space.keep(nodes.withColumn("head", F.coalesce("branch", first)), "nodes")
