@@ -189,3 +189,56 @@ def test_quadratic_map_is_chosen_by_its_setting(spark, blobs):
             assert _accuracy(model.transform(rows)) > 0.85
     with pytest.raises(ValueError):
         Fam.build("poly_svm", TASK, {"quadratic": "best"})
+
+
+def test_machines_fitted_together_equal_single_fits(blobs):
+    """Weights of many folds and settings in one call against MLlib, one fit at a time."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+
+    from verbalis.learners.machines import Machine, fit_machines, one_against_rest
+
+    rows = blobs.select(vector_to_array("features").alias("x"), F.col("label_index").cast("int").alias("y"))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("x"), F.lit(3)).cast("int")).persist()
+    machines = [Machine(fold, reg) for fold in (0, 2, -1) for reg in (1e-2, 0.3)]
+    together = fit_machines(rows, machines, one_against_rest(3), "log", 500, 1e-7)
+    for machine, weights in zip(machines, together):
+        seen = rows.filter(F.col("fold") != machine.fold)
+        seen = seen.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"))
+        one = LogisticRegression(regParam=machine.reg, standardization=False, tol=1e-9, maxIter=500).fit(seen)
+        assert np.allclose(one.coefficientMatrix.toArray(), weights[:, :-1], atol=2e-2)
+    rows.unpersist()
+
+
+def test_every_family_has_shares(blobs):
+    short = {"mlp": {"max_iter": 20, "hidden": (4,)}, "adaboost": {"trees": 3}, "random_forest": {"trees": 4}, "extra_trees": {"trees": 4}}
+    task = Fam.Task(3, 4, 5, short)
+    for family in Fam.FAMILIES:
+        out = Fam.build(family, task, final=True).fit(blobs).transform(blobs)
+        sums = out.select(vector_to_array("probability").alias("p")).selectExpr("aggregate(p, 0D, (a, v) -> a + v) AS s", "size(p) AS n")
+        assert sums.filter("abs(s - 1) > 1e-6 OR n <> 3").count() == 0, family
+
+
+def test_coupled_shares_give_back_the_classes():
+    from verbalis.learners.margins import coupled
+
+    rng = np.random.default_rng(8)
+    shares = rng.dirichlet(np.ones(5), 50)
+    pairs = np.array([[p[a] / (p[a] + p[b]) for a in range(5) for b in range(a + 1, 5)] for p in shares])
+    assert np.allclose(coupled(pairs, 5), shares, atol=1e-5)
+
+
+def test_models_boosted_together_equal_single_ones(blobs):
+    from pyspark.ml.functions import vector_to_array
+
+    from verbalis.learners.boosting import Booster, boost
+
+    rows = blobs.select(vector_to_array("features").alias("x"), F.col("label_index").cast("int").alias("y"))
+    rows = rows.withColumn("y", F.when(F.xxhash64("x") % 4 == 0, (F.col("y") + 1) % 3).otherwise(F.col("y")).cast("int"))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("x"), F.lit(3)).cast("int")).persist()
+    settings = [(0, 6, 0.5, 2), (1, 3, 1.0, 3), (-1, 25, 0.5, 1)]
+    together = boost(rows, [Booster(*s, max_features=2) for s in settings], 3)
+    for s, trees in zip(settings, together):
+        assert boost(rows, [Booster(*s, max_features=2)], 3)[0] == trees
+        assert len(trees) == s[1]
+    rows.unpersist()

@@ -8,13 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 
 from verbalis.learners.forest import BoostedTreesClassifier, ExtraTreesClassifier
-from verbalis.learners.margins import CalibratedSvm, KernelSvm, linear_machine
+from verbalis.learners.margins import CalibratedSvm, KernelSvm, LogisticMachine, linear_machine
 from verbalis.learners.nearest import KnnClassifier
 
 # Families in the order in which they are tried; equal scores keep it.
@@ -22,7 +21,8 @@ FAMILIES = (
     "logistic", "knn", "linear_svm", "poly_svm", "rbf_svm", "decision_tree", "random_forest", "extra_trees", "adaboost", "mlp",
 )
 NOT_SEARCHED = ("poly_svm", "rbf_svm")
-WITHOUT_SHARES = ("poly_svm", "rbf_svm")
+#: Families whose folds and settings are all fitted together.
+TOGETHER = ("logistic", "linear_svm", "poly_svm", "rbf_svm", "extra_trees", "adaboost")
 
 # Default settings of each family.
 DEFAULTS = {
@@ -56,13 +56,13 @@ def build(family: str, task: Task, drawn: dict | None = None, final: bool = Fals
     """An estimator with default, overridden and drawn settings.
 
     ``final`` builds the form that is kept: the linear SVM is scored bare and calibrated only when it is kept. Settings
-    of the original without a counterpart (early stopping, rectified units, one-vs-one kernel machines, the minimum
-    number of records to split in MLlib trees) use the nearest one.
+    of the original without a counterpart (early stopping, rectified units, the minimum number of records to split in
+    MLlib trees) use the nearest one.
     """
     s = task.settings(family, drawn)
     common = {"featuresCol": "features", "labelCol": "label_index"}
     if family == "logistic":
-        return LogisticRegression(maxIter=s["max_iter"], tol=1e-3, regParam=s["alpha"], elasticNetParam=0.0, standardization=False, **common)
+        return LogisticMachine(regParam=s["alpha"], maxIter=s["max_iter"])
     if family == "knn":
         return KnnClassifier(k=s["k"])
     if family == "linear_svm":
@@ -97,7 +97,7 @@ def build(family: str, task: Task, drawn: dict | None = None, final: bool = Fals
     if family == "adaboost":
         return BoostedTreesClassifier(
             rounds=s["trees"], learningRate=s["learning_rate"], maxDepth=s["depth"], maxFeatures=wanted,
-            minLeaf=s.get("min_leaf", 1), seed=task.seed,
+            minSplit=s.get("min_split", 2), minLeaf=s.get("min_leaf", 1), seed=task.seed,
         )
     if family == "mlp":
         layers = [task.features, *s["hidden"], task.classes]

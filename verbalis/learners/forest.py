@@ -9,15 +9,14 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbalis.learners.boosting import Booster, boost
+from verbalis.learners.machines import totals_of
 from verbalis.learners.scored import HasClassColumns, ScoredModel, matrix, set_params
-from verbalis.session import Workspace
 
 SLOTS = 1_000_000  # (node, candidate, class) counts of one pass
 TINY = float(np.finfo(np.float64).eps)
@@ -88,22 +87,23 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
         set_params(self)
 
     def _fit(self, dataset: DataFrame) -> ForestModel:
-        rows = self.rows(dataset).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self.rows(dataset).withColumn("fold", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            trees, classes = self._grow(rows)
+            trees, classes = self.grow(rows, [-1])
         finally:
             rows.unpersist()
-        return ForestModel({"trees": trees, "classes": classes, "combine": "mean"})
+        return ForestModel({"trees": trees[0], "classes": classes, "combine": "mean"})
 
-    def _grow(self, rows: DataFrame):
+    def grow(self, rows: DataFrame, folds: list[int]):
+        """Trees of one forest per fold, each from the rows outside it (-1: all rows), grown together; and the classes."""
         get = lambda name: self.getOrDefault(getattr(self, name))
         rng = np.random.default_rng(get("seed"))
-        totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-        classes, dims = max(totals) + 1, rows.select(F.size("x").alias("d")).first().d
-        counts = np.array([totals.get(c, 0) for c in range(classes)], dtype=float)
+        found = rows.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect()
+        classes, dims = max(r.y for r in found) + 1, rows.select(F.size("x").alias("d")).first().d
+        counts = {f: np.bincount([r.y for r in found if r.fold != f], [r.n for r in found if r.fold != f], classes) for f in folds}
         wanted = min(dims, get("maxFeatures") or max(1, int(math.sqrt(dims))))
-        blank = lambda: {"feature": [-1], "threshold": [0.0], "left": [-1], "right": [-1], "counts": [counts.tolist()]}
-        trees = [blank() for _ in range(get("numTrees"))]
+        blank = lambda f: {"fold": f, "feature": [-1], "threshold": [0.0], "left": [-1], "right": [-1], "counts": [counts[f].tolist()]}
+        trees = [blank(f) for f in folds for _ in range(get("numTrees"))]
         open_nodes = [(t, 0) for t in range(len(trees))]
         for _ in range(get("maxDepth")):
             children = []
@@ -116,7 +116,9 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
                 break
         for tree in trees:
             tree["shares"] = [(np.array(c) / max(1.0, sum(c))).tolist() for c in tree.pop("counts")]
-        return trees, classes
+            del tree["fold"]
+        size = get("numTrees")
+        return [trees[k * size : (k + 1) * size] for k in range(len(folds))], classes
 
     def _split(self, rows, trees, nodes, rng, wanted, dims, classes):
         """Split the given nodes; the new nodes that may be split further."""
@@ -128,7 +130,7 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
             return []
         picks = np.array([rng.choice(dims, wanted, replace=False) for _ in may])
         used = sorted({t for t, _ in may})
-        shapes = {t: {k: trees[t][k] for k in ("feature", "threshold", "left", "right")} for t in used}
+        shapes = {t: {k: trees[t][k] for k in ("fold", "feature", "threshold", "left", "right")} for t in used}
         slot = {key: i for i, key in enumerate(may)}
         by_tree = {t: [] for t in used}
         for t, n in may:
@@ -139,8 +141,10 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
             shapes, by_tree, picks = shared.value
             low, high = np.full(picks.shape, np.inf), np.full(picks.shape, -np.inf)
             for batch in batches:
-                x = matrix(batch["x"])
+                every, fold = matrix(batch["x"]), batch["fold"].to_numpy()
+                parts = {f: every[fold != f] for f in {tree["fold"] for tree in shapes.values()}}
                 for t, tree in shapes.items():
+                    x = parts[tree["fold"]]
                     for here, at in rows_of(leaf_of(tree, x), by_tree[t]):
                         inside = x[here][:, picks[at]]
                         if len(inside):
@@ -170,8 +174,10 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
             cuts = shared_cuts.value
             left, whole = np.zeros((*picks.shape, classes)), np.zeros((len(picks), classes))
             for batch in batches:
-                x, y = matrix(batch["x"]), batch["y"].to_numpy()
+                every, fold, label = matrix(batch["x"]), batch["fold"].to_numpy(), batch["y"].to_numpy()
+                parts = {f: (every[fold != f], label[fold != f]) for f in {tree["fold"] for tree in shapes.values()}}
                 for t, tree in shapes.items():
+                    x, y = parts[tree["fold"]]
                     for here, at in rows_of(leaf_of(tree, x), by_tree[t]):
                         if len(here):
                             goes = x[here][:, picks[at]] <= cuts[at]
@@ -212,101 +218,69 @@ class ExtraTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, De
         return out
 
 
-def _read_tree(root, classes: int) -> dict:
-    """An MLlib tree as parallel lists."""
-    tree = {"feature": [], "threshold": [], "left": [], "right": [], "shares": []}
-
-    def add(node) -> int:
-        at = len(tree["feature"])
-        stats = np.array([max(0.0, v) for v in node.impurityStats().stats()])
-        stats = np.resize(stats, classes) if len(stats) == classes else np.pad(stats, (0, classes - len(stats)))
-        inner = node.subtreeDepth() > 0
-        split = node.split() if inner else None
-        tree["feature"].append(split.featureIndex() if inner else -1)
-        tree["threshold"].append(split.threshold() if inner else 0.0)
-        tree["left"].append(-1)
-        tree["right"].append(-1)
-        tree["shares"].append((stats / max(stats.sum(), TINY)).tolist())
-        if inner:
-            tree["left"][at] = add(node.leftChild())
-            tree["right"][at] = add(node.rightChild())
-        return at
-
-    add(root)
-    return tree
-
-
 class BoostedTreesClassifier(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParamsWritable):
-    """SAMME.R: MLlib trees on re-weighted records.
-
-    Every few rounds the weighted records are written to the shared folder, which cuts their lineage; the table before
-    that and the cached records of the round before are released.
-    """
+    """SAMME.R over trees that are grown from histograms of all records (``boosting.boost``)."""
 
     rounds = Param(Params._dummy(), "rounds", "trees", TypeConverters.toInt)
     learningRate = Param(Params._dummy(), "learningRate", "learning rate", TypeConverters.toFloat)
     maxDepth = Param(Params._dummy(), "maxDepth", "depth of each tree", TypeConverters.toInt)
     maxFeatures = Param(Params._dummy(), "maxFeatures", "candidates per node, 0 for all", TypeConverters.toInt)
+    minSplit = Param(Params._dummy(), "minSplit", "records a node needs to be split", TypeConverters.toInt)
     minLeaf = Param(Params._dummy(), "minLeaf", "records a leaf needs", TypeConverters.toInt)
-    checkpointEvery = Param(Params._dummy(), "checkpointEvery", "rounds between checkpoints", TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, rounds=200, learningRate=0.5, maxDepth=2, maxFeatures=0, minLeaf=1, checkpointEvery=10, seed=5):
+    def __init__(self, rounds=200, learningRate=0.5, maxDepth=2, maxFeatures=0, minSplit=2, minLeaf=1, seed=5):
         super().__init__()
         self._set_class_columns()
         set_params(self)
 
-    def _learner(self, round_: int):
-        get = lambda name: self.getOrDefault(getattr(self, name))
-        common = {
-            "featuresCol": "features", "labelCol": "y", "weightCol": "w", "maxDepth": get("maxDepth"),
-            "minInstancesPerNode": get("minLeaf"), "seed": get("seed") + round_,
-        }
-        if get("maxFeatures"):
-            return RandomForestClassifier(
-                numTrees=1, bootstrap=False, featureSubsetStrategy=str(get("maxFeatures")), **common
-            )
-        return DecisionTreeClassifier(**common)
-
     def _fit(self, dataset: DataFrame) -> ForestModel:
         get = lambda name: self.getOrDefault(getattr(self, name))
-        space = Workspace(dataset.sparkSession)
-        data = dataset.select(
-            F.col(self.col("featuresCol")).alias("features"),
-            F.col(self.col("labelCol")).cast("double").alias("y"),
-            F.lit(1.0).alias("w"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        held, written = data, None
-        classes = int(data.agg(F.max("y").alias("m")).first().m) + 1
-        step = get("learningRate") * (classes - 1) / classes
-        trees = []
-        for round_ in range(get("rounds")):
-            model = self._learner(round_).fit(data)
-            fitted = model.trees[0] if hasattr(model, "trees") else model
-            trees.append(_read_tree(fitted._java_obj.rootNode(), classes))
-            if round_ + 1 == get("rounds"):
-                break
-            shares = F.transform(vector_to_array("probability"), lambda p: F.log(F.greatest(p, F.lit(TINY))))
-            moved = model.transform(data).withColumn("logs", shares)
-            true = F.get("logs", F.col("y").cast("int"))
-            rest = F.aggregate("logs", F.lit(0.0), lambda acc, v: acc + v) - true
-            moved = moved.withColumn("w", F.col("w") * F.exp(-step * (true - rest / (classes - 1))))
-            wrong = (F.col("prediction") != F.col("y")).cast("double")
-            moved = moved.select("features", "y", "w", wrong.alias("wrong"))
-            last = written
-            if (round_ + 1) % get("checkpointEvery") == 0:
-                written = f"round_{round_}"
-                moved = space.keep(moved, written)
-            moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-            totals = moved.agg(F.avg("w").alias("w"), F.sum("wrong").alias("wrong")).first()
-            held.unpersist()
-            if last and last != written:
-                space.drop(last)
-            held = moved
-            data = moved.select("features", "y", (F.col("w") / F.lit(totals.w)).alias("w"))
-            if totals.wrong == 0:
-                break
-        held.unpersist()
-        space.drop()
-        return ForestModel({"trees": trees, "classes": classes, "combine": "samme"})
+        rows = self.rows(dataset).withColumn("fold", F.lit(0))
+        classes = int(rows.agg(F.max("y").alias("m")).first().m) + 1
+        one = Booster(
+            -1, get("rounds"), get("learningRate"), get("maxDepth"), get("maxFeatures"), get("minSplit"), get("minLeaf"), get("seed")
+        )
+        return ForestModel({"trees": boost(rows, [one], classes)[0], "classes": classes, "combine": "samme"})
+
+
+def forest_counts(family: str, rows: DataFrame, classes: int, settings: list[dict], folds: int, seed: int) -> np.ndarray:
+    """Confusion counts (setting, fold, class, predicted class) of boosted or extra trees, grown together.
+
+    Boosting grows all folds of all settings at once, extra trees all folds of a setting. ``rows`` has ``x, y, fold`` and
+    is cached.
+    """
+    every = list(range(folds))
+    if family == "adaboost":
+        boosters = [
+            Booster(f, s["trees"], s["learning_rate"], s["depth"], s.get("max_features", 0), s.get("min_split", 2), s.get("min_leaf", 1), seed)
+            for s in settings
+            for f in every
+        ]
+        grown, combine = boost(rows, boosters, classes), "samme"
+    else:
+        grown, combine = [], "mean"
+        for s in settings:
+            one = ExtraTreesClassifier(
+                numTrees=s["trees"], maxDepth=s["depth"], maxFeatures=s.get("max_features", 0), minSplit=s.get("min_split", 2),
+                minLeaf=s.get("min_leaf", 1), seed=seed,
+            )
+            grown += one.grow(rows, every)[0]
+    shared = rows.sparkSession.sparkContext.broadcast([{"trees": t, "classes": classes, "combine": combine} for t in grown])
+
+    def per_task(batches):
+        counts = np.zeros((len(shared.value), classes, classes))
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            y, fold = batch.column("y").to_numpy(), batch.column("fold").to_numpy()
+            for k, model in enumerate(shared.value):
+                use = fold == k % folds
+                if use.any():
+                    found = ForestModel.score(model, x[use])
+                    np.add.at(counts[k], (y[use], found.argmax(axis=1)), 1)
+        return counts.ravel()
+
+    found = totals_of(rows, per_task, len(grown) * classes * classes).reshape(len(settings), folds, classes, classes)
+    shared.unpersist()
+    return found

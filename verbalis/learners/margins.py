@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import math
+import warnings
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel, keyword_only
-from pyspark.ml import Estimator, Pipeline, Transformer
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.classification import LinearSVC, OneVsRest
-from pyspark.ml.feature import ElementwiseProduct, PolynomialExpansion, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbalis.learners.machines import Machine, fit_machines, held_out_counts, moments, one_against_one, one_against_rest, plain
 from verbalis.learners.scored import HasClassColumns, ScoredModel, compacted, matrix, set_params
 from verbalis.operators.sampling import stratified_folds
 
@@ -43,7 +45,7 @@ class CalibratedModel(ScoredModel):
         return total / len(state["folds"])
 
 
-def platt_sigmoids(margins: DataFrame, steps: int = 12) -> dict[tuple[int, int], tuple[float, float]]:
+def platt_sigmoids(margins: DataFrame, steps: int = 50) -> dict[tuple[int, int], tuple[float, float]]:
     """Sigmoid parameters per (fold, class) by Newton steps.
 
     ``margins`` has ``fold, class, margin, hit``. One step is one aggregation for all folds and classes together; the
@@ -91,6 +93,8 @@ def platt_sigmoids(margins: DataFrame, steps: int = 12) -> dict[tuple[int, int],
             change = max(change, float(np.abs(step).max()))
         if change < 1e-5:
             break
+    else:
+        warnings.warn(f"sigmoids took {steps} steps and still moved by {change:.1e}", stacklevel=2)
     data.unpersist()
     return {k: (v[0], v[1]) for k, v in values.items()}
 
@@ -110,49 +114,95 @@ class CalibratedSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultPa
         set_params(self)
 
     def _fit(self, dataset: DataFrame) -> CalibratedModel:
-        label, folds = self.col("labelCol"), self.getOrDefault(self.folds)
-        size = dataset.agg(
-            F.count(F.lit(1)).alias("n"), F.max(label).alias("m"), F.max(F.size(vector_to_array(self.col("featuresCol")))).alias("d")
-        ).first()
-        classes = int(size.m) + 1
-        rows = dataset.select(
-            F.col(self.col("idCol")).alias("doc_id"), F.col(self.col("featuresCol")).alias("features"), F.col(label).alias("label_index")
-        )
-        rows = stratified_folds(rows, folds, self.getOrDefault(self.seed), "doc_id", "label_index")
-        rows = compacted(rows, size.n, size.d).persist(StorageLevel.MEMORY_AND_DISK)
-        machine = linear_machine(classes, self.getOrDefault(self.regParam), self.getOrDefault(self.maxIter))
-        parts, margins = [], None
-        for fold in range(folds):
-            model = machine.fit(rows.filter(F.col("fold") != fold))
-            if classes <= 2:
-                w, b = model.coefficients.toArray(), model.intercept
-                weights, intercepts = [(-w).tolist(), w.tolist()], [-b, b]
-            else:
-                weights = [m.coefficients.toArray().tolist() for m in model.models]
-                intercepts = [m.intercept for m in model.models]
-            parts.append({"weights": weights, "intercepts": intercepts})
-            held = rows.filter(F.col("fold") == fold).select(
-                "fold", "label_index", F.posexplode(_margin_array(weights, intercepts)).alias("class", "margin")
-            )
-            margins = held if margins is None else margins.unionByName(held)
-        margins = margins.select("fold", "class", "margin", (F.col("label_index") == F.col("class")).cast("int").alias("hit"))
-        sigmoids = platt_sigmoids(margins)
-        rows.unpersist()
-        for fold, part in enumerate(parts):
-            part["a"] = [sigmoids.get((fold, c), (-1.0, 0.0))[0] for c in range(len(part["weights"]))]
-            part["b"] = [sigmoids.get((fold, c), (-1.0, 0.0))[1] for c in range(len(part["weights"]))]
+        folds = self.getOrDefault(self.folds)
+        rows, classes, _ = machine_rows(self, dataset, folds, self.getOrDefault(self.seed))
+        try:
+            signs = one_against_rest(classes)
+            _, _, deviation = moments(rows, list(range(folds)))
+            machines = [Machine(f, self.getOrDefault(self.regParam), scale=deviation[f]) for f in range(folds)]
+            weights = fit_machines(rows, machines, signs, "hinge", self.getOrDefault(self.maxIter))
+            if classes <= 2:  # a margin per class, as for several classes
+                weights, signs = [np.vstack([-w, w]) for w in weights], np.array([[1.0, -1.0], [-1.0, 1.0]])
+            sigmoids = held_out_sigmoids(rows, [plain] * folds, weights, signs)
+        finally:
+            rows.unpersist()
+        parts = []
+        for fold, w in enumerate(weights):
+            a, b = zip(*(sigmoids.get((fold, c), (-1.0, 0.0)) for c in range(len(w))))
+            parts.append({"weights": w[:, :-1].tolist(), "intercepts": w[:, -1].tolist(), "a": list(a), "b": list(b)})
         return CalibratedModel({"folds": parts})
 
 
-def _margin_array(weights, intercepts):
-    """Margins of all classes of a record, as one Arrow-batched product."""
-    w, b = np.array(weights), np.array(intercepts)
+def machine_rows(stage: HasClassColumns, dataset: DataFrame, folds: int, seed: int, width=None) -> tuple[DataFrame, int, int]:
+    """Kept rows ``x, y, fold`` for linear machines, the number of classes, and the number of features."""
+    label, features = stage.col("labelCol"), stage.col("featuresCol")
+    size = dataset.agg(
+        F.count(F.lit(1)).alias("n"), F.max(label).alias("m"), F.max(F.size(vector_to_array(features))).alias("d")
+    ).first()
+    # rows without ids are dealt by their features
+    own_id = stage.col("idCol") in dataset.columns
+    key = F.col(stage.col("idCol")) if own_id else F.xxhash64(vector_to_array(features))
+    rows = dataset.select(key.alias("doc_id"), F.col(features).alias("features"), F.col(label).alias("label_index"))
+    rows = stratified_folds(rows, folds, seed, "doc_id", "label_index") if folds else rows.withColumn("fold", F.lit(0))
+    rows = rows.select(vector_to_array("features").alias("x"), F.col("label_index").cast("int").alias("y"), F.col("fold").cast("int").alias("fold"))
+    rows = compacted(rows, size.n, width(size.d) if width else size.d).persist(StorageLevel.MEMORY_AND_DISK)
+    return rows, int(size.m) + 1, size.d
+
+
+def held_out_sigmoids(rows: DataFrame, maps: list, weights: list[np.ndarray], signs: np.ndarray) -> dict[tuple[int, int], tuple[float, float]]:
+    """Sigmoid parameters per (fold, output) from the margins of the rows that the fold's machine has not seen."""
+    shared = rows.sparkSession.sparkContext.broadcast((maps, weights, signs))
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps, weights, signs = shared.value
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            y, fold = batch.column("y").to_numpy(), batch.column("fold").to_numpy()
+            for k, (features, w) in enumerate(zip(maps, weights)):
+                use = fold == k
+                if not use.any():
+                    continue
+                found = features(x[use]) @ w[:, :-1].T + w[:, -1]
+                sign = signs[y[use]]
+                r, c = np.nonzero(sign)
+                columns = [np.full(len(r), k, np.int32), c.astype(np.int32), found[r, c], (sign[r, c] > 0).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["fold", "class", "margin", "hit"])
+
+    return platt_sigmoids(rows.mapInArrow(margins, "fold int, class int, margin double, hit int"))
+
+
+class LinearModel(ScoredModel):
+    """Logistic (one output) or multinomial (an output per class) shares of linear margins."""
 
-    @F.pandas_udf("array<double>")
-    def margins(x: pd.Series) -> pd.Series:
-        return pd.Series(list(matrix(x) @ w.T + b)) if len(x) else pd.Series([], dtype=object)
+    @staticmethod
+    def score(state: dict, x: np.ndarray) -> np.ndarray:
+        margins = x @ np.array(state["weights"]).T + np.array(state["intercepts"])
+        if margins.shape[1] == 1:
+            margins = np.hstack([-margins / 2, margins / 2])
+        shares = np.exp(margins - margins.max(axis=1, keepdims=True))
+        return shares / shares.sum(axis=1, keepdims=True)
 
-    return margins(vector_to_array("features"))
+
+class LogisticMachine(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParamsWritable):
+    """Logistic regression with a penalty on squared weights."""
+
+    regParam = Param(Params._dummy(), "regParam", "regularisation", TypeConverters.toFloat)
+    maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, regParam=1e-4, maxIter=1000):
+        super().__init__()
+        self._set_class_columns()
+        set_params(self)
+
+    def _fit(self, dataset: DataFrame) -> LinearModel:
+        rows, classes, _ = machine_rows(self, dataset, 0, 0)
+        try:
+            one = Machine(-1, self.getOrDefault(self.regParam))
+            w = fit_machines(rows, [one], one_against_rest(classes), "log", self.getOrDefault(self.maxIter))[0]
+        finally:
+            rows.unpersist()
+        return LinearModel({"weights": w[:, :-1].tolist(), "intercepts": w[:, -1].tolist()})
 
 
 class _ArrayMap(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -229,6 +279,25 @@ class QuadraticSketch(_ArrayMap):
         return np.fft.irfft(product, n=components, axis=1)
 
 
+class PolynomialExpansion(_ArrayMap):
+    """All terms whose products add up to (gamma x.z + 1)^2 - 1: for each i the feature, then its products with 0 .. i."""
+
+    @staticmethod
+    def prepare(dims, components, gamma, seed):
+        return np.array(quadratic_weights(dims, gamma))
+
+    @staticmethod
+    def apply(prepared, x):
+        out = np.empty((len(x), len(prepared)))
+        at = 0
+        for i in range(x.shape[1]):
+            out[:, at] = x[:, i]
+            np.multiply(x[:, : i + 1], x[:, i : i + 1], out=out[:, at + 1 : at + 2 + i])
+            at += i + 2
+        out *= prepared
+        return out
+
+
 def quadratic_weights(dims: int, gamma: float) -> list[float]:
     """Weights of the expanded monomials for which their product is (gamma x.z + 1)^2 - 1.
 
@@ -242,7 +311,8 @@ def quadratic_weights(dims: int, gamma: float) -> list[float]:
 
 
 class KernelSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParamsWritable):
-    """Quadratic or Gaussian SVM: standard scaling, an explicit feature map, and linear machines on it.
+    """Quadratic or Gaussian SVM with class shares: standard scaling, an explicit feature map, and a linear machine for
+    every pair of classes on it. Sigmoids of the pairs are fitted on margins of rows that a machine has not seen.
 
     ``quadratic`` chooses the map of the quadratic kernel, at every number of features: ``exact`` writes out all d (d + 3)
     / 2 products, ``sketch`` approximates the kernel by ``components`` random numbers, with another model as the result.
@@ -253,33 +323,137 @@ class KernelSvm(Estimator, HasClassColumns, DefaultParamsReadable, DefaultParams
     gamma = Param(Params._dummy(), "gamma", "kernel width, 0 for one over the number of features", TypeConverters.toFloat)
     components = Param(Params._dummy(), "components", "size of the random map", TypeConverters.toInt)
     maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+    folds = Param(Params._dummy(), "folds", "calibration folds", TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
     quadratic = Param(Params._dummy(), "quadratic", "map of the quadratic kernel: exact or sketch", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, kernel="rbf", cost=1.0, gamma=0.0, components=512, maxIter=30, seed=5, quadratic="exact"):
+    def __init__(self, kernel="rbf", cost=1.0, gamma=0.0, components=512, maxIter=30, folds=5, seed=5, quadratic="exact"):
         if quadratic not in ("exact", "sketch"):
             raise ValueError(f"quadratic={quadratic!r} is not valid: exact or sketch")
         super().__init__()
         self._set_class_columns()
         set_params(self)
 
-    def _fit(self, dataset: DataFrame):
+    def _fit(self, dataset: DataFrame) -> KernelModel:
         get = lambda name: self.getOrDefault(getattr(self, name))
-        features, label = self.col("featuresCol"), self.col("labelCol")
-        first = dataset.agg(F.count(F.lit(1)).alias("n"), F.max(label).alias("m"), F.max(F.size(vector_to_array(features))).alias("d")).first()
-        n, classes, dims = first.n, int(first.m) + 1, first.d
-        gamma = get("gamma") or 1.0 / dims
-        # MLlib scales by the sample deviation; the kernel width takes up the difference to the population one.
-        gamma *= n / max(1, n - 1)
-        stages = [StandardScaler(inputCol=features, outputCol="_scaled", withMean=True, withStd=True)]
-        if get("kernel") == "rbf":
-            stages.append(FourierFeatures(inputCol="_scaled", outputCol="_mapped", components=get("components"), gamma=gamma, seed=get("seed")))
-        elif get("quadratic") == "exact":
-            stages.append(PolynomialExpansion(degree=2, inputCol="_scaled", outputCol="_expanded"))
-            scale = Vectors.dense(quadratic_weights(dims, gamma))
-            stages.append(ElementwiseProduct(scalingVec=scale, inputCol="_expanded", outputCol="_mapped"))
-        else:
-            stages.append(QuadraticSketch(inputCol="_scaled", outputCol="_mapped", components=get("components"), gamma=gamma, seed=get("seed")))
-        stages.append(linear_machine(classes, 1.0 / (n * get("cost")), get("maxIter"), "_mapped"))
-        return Pipeline(stages=stages).fit(dataset)
+        folds = get("folds")
+        settings = {n: get(n) for n in ("kernel", "quadratic", "components", "gamma", "seed")}
+        rows, classes, _ = machine_rows(self, dataset, folds, get("seed"), lambda d: mapped_width(d, settings))
+        try:
+            signs = one_against_one(classes)
+            n, mean, deviation = moments(rows, [*range(folds), -1])
+            maps = [KernelMap(m, d, size, **settings) for m, d, size in zip(mean, deviation, n)]
+            machines = [Machine(f, 1.0 / (max(1, size) * get("cost")), k) for f, size, k in zip([*range(folds), -1], n, maps)]
+            weights = fit_machines(rows, machines, signs, "hinge", get("maxIter"))
+            sigmoids = held_out_sigmoids(rows.withColumn("group", F.lit(0)), maps[:-1], weights[:-1], signs) if folds else {}
+        finally:
+            rows.unpersist()
+        pairs = range(signs.shape[1])
+        # one sigmoid per pair: the mean of those of the folds
+        of = {c: [v for (_, k), v in sigmoids.items() if k == c] or [(-1.0, 0.0)] for c in pairs}
+        a, b = (np.array([np.mean([v[i] for v in of[c]]) for c in pairs]) for i in (0, 1))
+        state = {"classes": classes, "mean": mean[-1].tolist(), "deviation": deviation[-1].tolist(), "rows": float(n[-1]), **settings}
+        return KernelModel({**state, "weights": weights[-1].tolist(), "a": a.tolist(), "b": b.tolist()})
+
+
+def mapped_width(dims: int, settings: dict) -> int:
+    """Features of the kernel's map."""
+    exact = settings["kernel"] == "poly" and settings["quadratic"] == "exact"
+    return dims * (dims + 3) // 2 if exact else settings["components"]
+
+
+def map_of(kernel: str, quadratic: str) -> type[_ArrayMap]:
+    return FourierFeatures if kernel == "rbf" else {"exact": PolynomialExpansion, "sketch": QuadraticSketch}[quadratic]
+
+
+class KernelMap:
+    """Standard scaling and the explicit map of a kernel, for arrays. Its random numbers come from the seed."""
+
+    def __init__(self, mean, deviation, rows, kernel, quadratic, components, gamma, seed):
+        self.mean = np.array(mean)
+        # the kernel is defined on features scaled by the population deviation
+        deviation = np.array(deviation) * np.sqrt(max(0.0, rows - 1) / max(1.0, rows))
+        self.scale = np.where(deviation > 0, 1 / np.where(deviation > 0, deviation, 1), 0.0)
+        self.kind = map_of(kernel, quadratic)
+        self.components, self.seed = components, seed
+        self.gamma = gamma or 1.0 / max(1, len(self.mean))
+        self.prepared = None
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        z = (x - self.mean) * self.scale
+        if self.prepared is None:
+            self.prepared = self.kind.prepare(len(self.mean), self.components, self.gamma, self.seed)
+        return self.kind.apply(self.prepared, z)
+
+    def __getstate__(self):
+        return {**self.__dict__, "prepared": None}
+
+
+def coupled(pair_shares: np.ndarray, classes: int) -> np.ndarray:
+    """Class shares of every row from the shares of its pairs (second method of Wu, Lin and Weng, 2004).
+
+    The shares p with sum 1 that minimise the sum over pairs of (r_ba p_a - r_ab p_b)^2, where r_ab is the share of a in
+    the pair: a linear system of one equation per class and one for the sum.
+    """
+    n = len(pair_shares)
+    q = np.zeros((n, classes + 1, classes + 1))
+    k = 0
+    for a in range(classes):
+        for b in range(a + 1, classes):
+            r = np.clip(pair_shares[:, k], 1e-7, 1 - 1e-7)
+            q[:, a, a] += (1 - r) ** 2
+            q[:, b, b] += r**2
+            q[:, a, b] -= r * (1 - r)
+            q[:, b, a] -= r * (1 - r)
+            k += 1
+    q[:, :classes, classes] = q[:, classes, :classes] = 1
+    right = np.zeros((n, classes + 1, 1))
+    right[:, classes] = 1
+    shares = np.maximum(np.linalg.solve(q, right)[:, :classes, 0], 0)
+    return shares / shares.sum(axis=1, keepdims=True)
+
+
+class KernelModel(ScoredModel):
+    """Machines of all pairs of classes on mapped features, a sigmoid for each, and coupled class shares."""
+
+    @property
+    def stages(self) -> list[_ArrayMap]:
+        """The map of the kernel, with its settings."""
+        kind = map_of(self.state["kernel"], self.state["quadratic"])
+        gamma = self.state["gamma"] or 1.0 / max(1, len(self.state["mean"]))
+        return [kind(components=self.state["components"], gamma=gamma, seed=self.state["seed"])]
+
+    @staticmethod
+    def score(state: dict, x: np.ndarray) -> np.ndarray:
+        settings = {n: state[n] for n in ("kernel", "quadratic", "components", "gamma", "seed")}
+        features = KernelMap(state["mean"], state["deviation"], state["rows"], **settings)
+        w = np.array(state["weights"])
+        if state["classes"] < 2:
+            return np.ones((len(x), 1))
+        margins = features(x) @ w[:, :-1].T + w[:, -1]
+        shares = 1.0 / (1.0 + np.exp(np.clip(margins * np.array(state["a"]) + np.array(state["b"]), -500, 500)))
+        return coupled(shares, state["classes"])
+
+
+def machine_counts(family: str, rows: DataFrame, classes: int, settings: list[dict], folds: int, seed: int) -> np.ndarray:
+    """Confusion counts (setting, fold, class, predicted class): all folds of all settings are fitted together.
+
+    ``rows`` has ``x, y, fold`` and is cached.
+    """
+    kernel = {"poly_svm": "poly", "rbf_svm": "rbf"}.get(family)
+    signs = one_against_one(classes) if kernel and classes > 2 else one_against_rest(classes)
+    every = list(range(folds))
+    machines, maps = [], {}
+    n, mean, deviation = (None, None, None) if family == "logistic" else moments(rows, every)
+    for s in settings:
+        for f in every:
+            if kernel:
+                key = (f, s.get("gamma", 0.0), s["components"], s.get("quadratic", "exact"))
+                if key not in maps:
+                    maps[key] = KernelMap(mean[f], deviation[f], n[f], kernel, key[3], s["components"], key[1], seed)
+                machines.append(Machine(f, 1.0 / (max(1, n[f]) * s["cost"]), maps[key]))
+            else:
+                machines.append(Machine(f, s["alpha"], scale=None if family == "logistic" else deviation[f]))
+    weights = fit_machines(rows, machines, signs, "log" if family == "logistic" else "hinge", settings[0]["max_iter"])
+    return held_out_counts(rows, machines, weights, signs).reshape(len(settings), folds, classes, classes)
