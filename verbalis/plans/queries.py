@@ -31,7 +31,7 @@ from verbalis.plans import search as Se
 from verbalis.plans.training import AutoTextClassifier, load_model, score
 from verbalis.sources import tables
 from verbalis.sources.workbooks import parse_workbooks
-from verbalis.streaming.scoring import read_text_stream, score_stream
+from verbalis.streaming.scoring import read_scored, read_text_stream, score_stream
 
 SEED = 5
 SETTINGS = TrainingParams(number_of_records_to_include=1.0, min_records_per_class=20)
@@ -864,7 +864,7 @@ def stream_score(spark, sf):
     stream = read_text_stream(spark, f"{space.path}/turns", landed.schema)
     sink = f"{space.path}/scored-{uuid.uuid4().hex}"
     score_stream(_run(spark, sf).model, stream, sink, f"{sink}-checkpoint").awaitTermination()
-    return spark.read.parquet(sink).select("doc_id", "predicted_label")
+    return read_scored(spark, sink).select("doc_id", "predicted_label")
 
 
 @query
