@@ -242,3 +242,27 @@ def test_models_boosted_together_equal_single_ones(blobs):
         assert boost(rows, [Booster(*s, max_features=2)], 3)[0] == trees
         assert len(trees) == s[1]
     rows.unpersist()
+
+
+def test_few_rows_of_many_features_are_fitted_in_their_span(spark, monkeypatch):
+    from verbalis.learners import margins as Mg
+
+    rng = np.random.default_rng(4)
+    data = [(x.tolist(), int(x[0] + x[1] * x[2] > 0), i % 3) for i, x in enumerate(rng.normal(size=(90, 30)))]
+    rows = spark.createDataFrame(data, "x array<double>, y int, fold int").coalesce(1).persist()
+    settings = [{"cost": 1.0, "max_iter": 30, "components": 8, "quadratic": "exact"}, {"cost": 5.0, "max_iter": 30, "components": 8, "quadratic": "exact"}]
+    widths, real = [], Mg.fit_machines
+
+    def fitted(rows, machines, *rest):
+        out = real(rows, machines, *rest)
+        widths.extend(w.shape[1] for w in out)
+        return out
+
+    monkeypatch.setattr(Mg, "fit_machines", fitted)
+    narrow = Mg.machine_counts("poly_svm", rows, 2, settings, 3, 5)
+    assert max(widths) == 91  # a weight per row, not the 495 products
+    monkeypatch.setattr(Mg, "SPAN_ROWS", 0)
+    wide = Mg.machine_counts("poly_svm", rows, 2, settings, 3, 5)
+    assert max(widths) == 496
+    assert np.abs(narrow - wide).sum() <= 2
+    rows.unpersist()
