@@ -244,6 +244,24 @@ def test_models_boosted_together_equal_single_ones(blobs):
     rows.unpersist()
 
 
+def test_sums_of_many_tasks_reach_the_driver_as_one(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from verbalis.learners import machines as Ma
+
+    received, real = [], Classic.toArrow
+    monkeypatch.setattr(Classic, "toArrow", lambda self: received.append(real(self)) or received[-1])
+    rows = spark.range(400).select(F.array(F.col("id").cast("double")).alias("x"))
+
+    def per_task(batches):
+        total = [b.column("x").flatten().to_numpy(zero_copy_only=False).sum() for b in batches]
+        return np.array([sum(total), 1.0]) if total else None
+
+    for tasks in (1, 5, 40):
+        sums = Ma.totals_of(rows.repartition(tasks), per_task, 2)
+        assert sums[0] == 399 * 200 and received[-1].num_rows == 1
+
+
 def test_few_rows_of_many_features_are_fitted_in_their_span(spark, monkeypatch):
     from verbalis.learners import margins as Mg
 
