@@ -244,6 +244,29 @@ def test_models_boosted_together_equal_single_ones(blobs):
     rows.unpersist()
 
 
+def test_neighbours_by_chunks_are_those_of_one_comparison():
+    rng = np.random.default_rng(3)
+    train, x = rng.integers(0, 4, (500, 3)).astype(float), rng.integers(0, 4, (40, 3)).astype(float)  # many ties
+    distances = ((x[:, None, :] - train[None, :, :]) ** 2).sum(axis=2)
+    expected = np.argsort(distances, axis=1, kind="stable")[:, :7]
+    for chunk in (1, 5, 64, 1000):
+        picks, found = Nb.best_of(x, train, 7, chunk)
+        assert np.array_equal(picks, expected)
+        assert np.array_equal(found, np.take_along_axis(distances, expected, axis=1))
+    assert Nb.best_of(x, train[:3], 7, 2)[0].shape == (40, 3)
+
+
+def test_neighbours_need_no_memory_for_all_pairs():
+    import tracemalloc
+
+    train, x = np.zeros((200_000, 2)), np.zeros((64, 2))
+    tracemalloc.start()
+    Nb.best_of(x, train, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 * 200_000 * 8 / 2
+
+
 def test_sums_of_many_tasks_reach_the_driver_as_one(spark, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame as Classic
 
