@@ -195,3 +195,25 @@ def test_vector_stages_equal_the_long_tables(spark, sf, settings):
     if params.use_L2_row_normalization:
         assert all(abs(v - 1) < 1e-9 or v == 0 for v in lengths)
     space.drop()
+
+
+def test_lexicons_are_shipped_as_bytes(spark, sf, monkeypatch):
+    """A worker holds no object per word of a lexicon, and records are described in parts of a batch."""
+    from verbalis.functions import wordfacts as Wf
+
+    context, shipped = type(spark.sparkContext), []
+    real = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: shipped.append(value) or real(self, value))
+    facts = {"cats": ("n", True, "cat", 0.5, None), "run": ("v", False, "run", None, None), "nice": ("a", True, "nice", -0.25, 1.0)}
+    words = [["cats", "run", "nice", "xyz", "cats"], [], ["nice"], ["quickly", "unknown"]] * 3
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id int, words array<string>").coalesce(1)
+    rows = {}
+    for size in (1000, 2):
+        monkeypatch.setattr(Wf, "RECORDS", size)
+        out = docs.select("doc_id", Wf.facts_column(spark, facts, C.JunkProfile())("words").alias("f")).select("doc_id", "f.*")
+        rows[size] = [tuple(r) for r in out.orderBy("doc_id").collect()]
+    assert rows[1000] == rows[2]
+    assert rows[2][0][1] == ["cat", "nice", "cat"] and rows[2][0][2:7] == (3, 1, 1, 0, 0)
+    assert rows[2][0][7:] == (0.25, 1 / 3)
+    assert rows[2][1][1] == [] and rows[2][2][7:] == (-0.25, 1.0)
+    assert isinstance(shipped[0][0], bytes)
