@@ -183,3 +183,35 @@ def test_crowd_of_many_sizes(make_docs, space, monkeypatch):
         if i % 6 == 0:
             rows.append((100 + i, " ".join(passage + body + ["end"])))
     assert found(B.near_copies(make_docs(rows), space, bands=60, rows=1)) == brute(rows)
+
+
+def test_members_of_a_crowd_make_one_row_each(make_docs, space, monkeypatch):
+    """Texts of many lengths in one bucket of moderate size: none is dealt to several tiles, and no link is lost."""
+    random.seed(8)
+    words = lambda n: [f"w{random.randrange(10_000)}" for _ in range(n)]
+    rows = [(i, " ".join(words(20 + 3 * i))) for i in range(B.TILE + 60)]
+    text = words(120)
+    rows += [(1000 + i, " ".join([*text, *words(2)])) for i in range(2)]
+    monkeypatch.setattr(B, "_sketch", one_band_in_common)
+    real = B._tile
+    monkeypatch.setattr(B, "_tile", lambda *given: counted(real(*given), space.path))
+
+    def counted(tile, folder):
+        def run(key, members):
+            import os
+            import uuid
+
+            os.makedirs(f"{folder}/dealt", exist_ok=True)
+            with open(f"{folder}/dealt/{uuid.uuid4().hex}", "w") as out:
+                out.write(str(members.num_rows))
+            return tile(key, members)
+
+        return run
+
+    out = found(B.near_copies(make_docs(rows), space, rows=6))
+    assert [r for r in out if r[2] == 2] == [(1000, 1000, 2, True), (1001, 1000, 2, False)]
+    from pathlib import Path
+
+    tiles = [int(f.read_text()) for f in Path(f"{space.path}/dealt").iterdir()]
+    # the two copies may have joined in an earlier turn
+    assert len(rows) - 2 <= sum(tiles) <= len(rows)

@@ -21,6 +21,8 @@ BANDS, ROWS = 40, 6
 TILE = 16
 #: Members and bytes of text of one side of a tile, on average.
 SIDE, SIDE_BYTES = 256, 4 << 20
+#: A bucket of at most so many sides, and of twice the bytes of one, is a tile of its own.
+WHOLE = 4
 #: Turns with drawn centres before all pairs of what is left are compared.
 DRAWS = 1
 TEXT_BYTES = 1 << 18
@@ -186,7 +188,9 @@ def _tile(shingle: int, similarity: float):
         node, group, chunk, weight = (rows.column(c).to_numpy() for c in ("node", "component", "chunk", "weight"))
         keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         words = rows.column("words")
-        i, j = (np.flatnonzero(chunk == c) for c in (low, high))
+        # by size, so that ranges of texts that cannot overlap enough are left out as a whole
+        order = np.argsort(weight, kind="stable")
+        i, j = (order[chunk[order] == c] for c in (low, high))
         wanted = group[i][:, None] != group[j][None, :]
         wanted &= may_reach(weight[i][:, None], weight[j][None, :], similarity)
         if low == high:
@@ -212,7 +216,7 @@ class _Search:
 
     def __init__(self, nodes: DataFrame, texts: DataFrame, space: Workspace, shingle: int, similarity: float):
         self.space, self.texts, self.shingle, self.similarity = space, texts, shingle, similarity
-        self.members = nodes.select("node", F.explode("keys").alias("bucket"))
+        self.members = nodes.select("node", "weight", "bytes", F.explode("keys").alias("bucket"))
         self.nodes = nodes
         self.links: DataFrame | None = None
         self.groups: DataFrame | None = None
@@ -229,14 +233,15 @@ class _Search:
         self.groups = components(self.links, self.space, f"groups_{name}")
 
     def open_members(self) -> DataFrame:
-        """Members of buckets that hold more than one component: bucket, node, component."""
+        """Members of buckets that hold more than one component: bucket, node, component, their sizes and their number."""
         group = F.coalesce("component", "node").alias("component")
-        named = self.crowded.select("bucket", "node").join(self.groups, "node", "left").select("bucket", "node", group)
+        own = ("bucket", "node", "weight", "bytes")
+        named = self.crowded.select(*own).join(self.groups, "node", "left").select(*own, group)
         parted = named.groupBy("bucket").agg(
             F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
         )
         parted = parted.filter("least <> most").select("bucket", "n")
-        return named.join(parted, "bucket").join(self.texts.select("node", "weight"), "node")
+        return named.join(parted, "bucket")
 
     def first(self) -> DataFrame:
         """Every member with the smallest one of its bucket: the copies of one text mostly share that centre."""
@@ -274,19 +279,23 @@ class _Search:
         with one passage in common makes no rows for its pairs.
 
         Members are parted by size first: those of one class of sizes can only overlap enough with those of the same and
-        the next class. Chunks of a class have bounded numbers and bytes, and a tile is made of two chunks.
+        the next class. Chunks of a class have bounded numbers and bytes, and a tile is made of two chunks. A bucket within
+        ``WHOLE`` sides is one tile, and its members make one row each. Texts are joined before members are dealt to tiles.
         """
         large = self.open.filter(F.col("n") > TILE)
-        texts = self.texts.drop("weight").join(large.select("node").distinct(), "node", "left_semi")
-        sized = texts.select("node", F.octet_length("words").cast("long").alias("bytes"))
-        large = large.join(sized, "node").withColumn("class", F.floor(F.log(F.greatest("weight", F.lit(1))) / -math.log(self.similarity) + 1e-9))
-        size = large.groupBy("bucket", "class").agg(F.count("*").alias("m"), F.sum("bytes").alias("bytes"))
-        size = size.select("bucket", "class", F.ceil(F.greatest(F.col("m") / SIDE, F.col("bytes") / SIDE_BYTES)).alias("chunks"))
+        total = large.groupBy("bucket").agg(F.sum("bytes").alias("all"))
+        large = large.join(total, "bucket").withColumn("whole", (F.col("n") <= WHOLE * SIDE) & (F.col("all") <= 2 * SIDE_BYTES))
+        level = F.floor(F.log(F.greatest("weight", F.lit(1))) / -math.log(self.similarity) + 1e-9)
+        large = large.withColumn("class", F.when(F.col("whole"), F.lit(0).cast("long")).otherwise(level))
+        size = large.groupBy("bucket", "class", "whole").agg(F.count("*").alias("m"), F.sum("bytes").alias("bytes"))
+        chunks = F.ceil(F.greatest(F.col("m") / SIDE, F.col("bytes") / SIDE_BYTES))
+        size = size.select("bucket", "class", F.when(F.col("whole"), F.lit(1).cast("long")).otherwise(chunks).alias("chunks"))
         size = self.space.keep(size, "crowd_sizes")
         after = size.select("bucket", (F.col("class") - 1).alias("class"), F.col("chunks").alias("next"))
         before = size.select("bucket", (F.col("class") + 1).alias("class"), F.col("chunks").alias("last"))
         size = size.join(after, ["bucket", "class"], "left").join(before, ["bucket", "class"], "left")
-        rows = large.drop("bytes").join(size, ["bucket", "class"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+        rows = large.join(size, ["bucket", "class"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+        rows = rows.drop("bytes", "all", "whole", "n")
         # chunks are numbered (class, chunk); a member meets its own class, and the classes on both sides
         number = lambda level, chunk: level * (1 << 32) + chunk
         own = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda k: number(F.col("class"), k))
@@ -294,20 +303,32 @@ class _Search:
         up = F.when(F.col("next").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col("next") - 1), lambda k: number(F.col("class") + 1, k)))
         down = F.when(F.col("last").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col("last") - 1), lambda k: number(F.col("class") - 1, k)))
         rows = rows.withColumn("chunk", number(F.col("class"), F.col("chunk")))
-        tiles = rows.withColumn("other", F.explode(F.concat(own, F.coalesce(up, none), F.coalesce(down, none))))
-        tiles = tiles.withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
+        rows = rows.withColumn("others", F.concat(own, F.coalesce(up, none), F.coalesce(down, none)))
+        rows = rows.select("bucket", "node", "component", "chunk", "weight", "others")
+
+        def dealt(members: DataFrame) -> DataFrame:
+            met = members.withColumn("other", F.explode("others")).drop("others")
+            return met.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other")
+
         # tiles with members of one component only have nothing to compare
-        alive = tiles.groupBy("bucket", "low", "high").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        alive = dealt(rows).groupBy("bucket", "low", "high").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         alive = alive.filter("least <> most").drop("least", "most")
-        tiles = tiles.select("bucket", "low", "high", "node", "component", "chunk", "weight").join(alive, ["bucket", "low", "high"])
-        tiles = tiles.join(self.nodes.select("node", "keys"), "node").join(texts, "node")
+        rows = rows.join(self.nodes.select("node", "keys"), "node").join(self.texts, "node")
+        tiles = dealt(rows).join(alive, ["bucket", "low", "high"])
         tile = _tile(self.shingle, self.similarity)
         return tiles.groupBy("bucket", "low", "high").applyInArrow(tile, "a long, b long").distinct()
 
 
 def print_of(words: Column) -> Column:
-    """A hash that is equal for texts of equal words."""
-    return F.md5(folded(words))
+    """A hash that is equal for texts of equal words, then the spaces and bytes that they have in common."""
+    spaces = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit("")))
+    return F.concat_ws(":", F.md5(folded(words)), spaces.cast("string"), F.octet_length(words).cast("string"))
+
+
+def sizes_of(print_: str, shingle: int) -> tuple[Column, Column]:
+    """Shingles and bytes of the text of a print."""
+    spaces, size = (F.split(print_, ":")[k].cast("long") for k in (1, 2))
+    return F.when(size == 0, F.lit(0).cast("long")).otherwise(F.greatest(spaces + 2 - shingle, F.lit(1).cast("long"))), size
 
 
 def _classes(
@@ -327,7 +348,8 @@ def _classes(
     )
     texts = space.keep(texts, "texts")
     nodes = sketched.drop("print").join(texts.select(F.col("node").alias("row"), "print", (F.col("n") > 1).alias("twins")), "row")
-    nodes = space.keep(nodes.withColumnRenamed("row", "node"), "nodes")
+    weight, size = sizes_of("print", shingle)
+    nodes = space.keep(nodes.withColumnRenamed("row", "node").withColumns({"weight": weight, "bytes": size}), "nodes")
     search = _Search(nodes, given, space, shingle, similarity)
     pairs = space.keep(search.first(), "pairs_1")
     paired = search.crowded.select("node").distinct()
@@ -336,9 +358,7 @@ def _classes(
     found = found.filter(F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "twins", "words")
     one_each = found.filter("twins").groupBy("node").agg(F.first("words").alias("words"))
     one_each = found.filter("not twins").select("node", "words").unionByName(one_each)
-    spaces = F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit("")))
-    weight = F.when(F.length("words") == 0, 0).otherwise(F.greatest(spaces + 2 - shingle, F.lit(1)))  # shingles of the text
-    search.texts = space.keep(one_each.withColumn("weight", weight.cast("long")), "words")
+    search.texts = space.keep(one_each, "words")
     search.verified(pairs, "1")
     for turn in range(DRAWS):
         pairs = space.keep(search.second(turn), f"pairs_draw_{turn}")
