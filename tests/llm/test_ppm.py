@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,29 @@ def test_keys_of_parts_are_those_of_the_text(order):
     made, starts = ppm.gram_keys(ppm.Segments([*parts, b"", *parts], [*heads, begin, *heads], [False] * 3 + [True] * 2 + [False] * 3 + [True]), order)
     assert made.tolist() == whole.tolist()
     assert starts.tolist() == [0, 7, 8, 40, 79, 80, 87, 88, 120]
+
+
+def test_merging_counts_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    counts, every, n = ppm._Counts(), [], []
+    for counted in (True, False, True, True):
+        keys = rng.integers(0, 3_000, 2_000).astype(ppm.U)
+        counts.add(keys, counted)
+        every.append(keys)
+        n.append(np.full(len(keys), int(counted)))
+    keys, total = counts.merged()
+    expected, place = np.unique(np.concatenate(every), return_inverse=True)
+    assert np.array_equal(keys, expected)
+    assert np.array_equal(total, np.bincount(place, np.concatenate(n)).astype(np.int64))
+    assert [len(x) for x in ppm._Counts().merged()] == [0, 0]
+
+    counts = ppm._Counts()
+    counts.add(np.arange(0, 2_000_000, 2).astype(ppm.U), True)
+    counts.parts.append((np.arange(1, 200_000, 2).astype(ppm.U), np.ones(100_000, np.int64)))
+    tracemalloc.start()
+    assert len(counts.merged()[0]) == 1_100_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000

@@ -75,11 +75,22 @@ class _Counts:
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if len(self.parts) > 1:
-            keys, n = (np.concatenate(x) for x in zip(*self.parts))
+            (base, total), *rest = self.parts
+            self.parts = []
+            keys, n = (np.concatenate(x) for x in zip(*rest))
             order = np.argsort(keys)
             keys, n = keys[order], n[order]
-            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            self.parts = [(keys[at], np.add.reduceat(n, at))]
+            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+            keys, n = keys[at], np.add.reduceat(n, at) if len(at) else n
+            # known keys are counted in place, new ones put between them: what is there is not sorted again
+            place = np.searchsorted(base, keys)
+            known = np.zeros(len(keys), bool)
+            inside = place < len(base)
+            known[inside] = base[place[inside]] == keys[inside]
+            total[place[known]] += n[known]
+            keys, n, place = keys[~known], n[~known], place[~known]
+            base = np.insert(base, place, keys)
+            self.parts = [(base, np.insert(total, place, n))]
         self.waiting = 0
         return self.parts[0] if self.parts else (np.empty(0, U), np.empty(0, np.int64))
 
@@ -141,7 +152,9 @@ def _blocks(order: int, block_bytes: int, block_keys: int, longest: int):
         def flushed() -> Iterator[pa.RecordBatch]:
             out.close()
             one = [pa.array([block]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*one, pa.array([sink.getvalue().to_pybytes()])], schema=schema)
+            held = sink.getvalue()
+            ends = pa.py_buffer(np.array([0, held.size], np.int32))
+            yield pa.RecordBatch.from_arrays([*one, pa.Array.from_buffers(pa.binary(), 1, [None, ends, held])], schema=schema)
             yield from rows(block, *counts.merged())
 
         for given in small_batches(batches, "text", longest):
