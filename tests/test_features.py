@@ -1,4 +1,6 @@
 import math
+import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -98,6 +100,56 @@ def test_trigram_g2_by_hand(spark):
     assert scores[("a", "b", "c")] == pytest.approx(2 * expected, abs=1e-4)
 
 
+def _by_hand(texts, n, least):
+    """Counts of the n-grams of frequent words, their words and pairs, as plain Python counts them."""
+    words = Counter(w for t in texts for w in t or [])
+    grams = Counter(tuple(t[i : i + n]) for t in texts for i in range(len(t or []) - n + 1))
+    pairs = Counter(tuple(t[i : i + 2]) for t in texts for i in range(len(t or []) - 1))
+    outer = Counter((t[i], t[i + 2]) for t in texts for i in range(len(t or []) - 2))
+    kept = {g: c for g, c in grams.items() if c >= least and None not in g}
+    if n == 2:
+        return {(*g, c, *[words[w] for w in g]) for g, c in kept.items()}
+    return {(*g, c, pairs[g[:2]], pairs[g[1:]], outer[g[0], g[2]], *[words[w] for w in g]) for g, c in kept.items()}
+
+
+@pytest.mark.parametrize("numbered", [True, False])
+@pytest.mark.parametrize("least", [1, 3])
+def test_ngram_counts_are_those_by_hand(spark, monkeypatch, numbered, least):
+    if not numbered:
+        monkeypatch.setattr(N, "CODED_WORDS", 0)
+    draw = random.Random(least)
+    texts = [[draw.choice(["a", "b", "c", "é", "z", None]) for _ in range(draw.randrange(12))] for _ in range(60)] + [None, [], ["q"]]
+    docs = spark.createDataFrame([(1, t) for t in texts], "doc_id int, words array<string>").repartition(3)
+    bigrams = N.bigram_scores(docs, None, least).select("w1", "w2", "n12", "n1", "n2")
+    assert sorted(map(tuple, bigrams.collect())) == sorted(_by_hand(texts, 2, least))
+    trigrams = N.trigram_scores(docs, None, least).select("w1", "w2", "w3", "n123", "n12", "n23", "n13", "n1", "n2", "n3")
+    assert sorted(map(tuple, trigrams.collect())) == sorted(_by_hand(texts, 3, least))
+
+
+def test_many_trigrams_have_the_same_scores(spark, monkeypatch):
+    """Tables too large to be broadcast are shuffled."""
+    texts = ["a b c d", "a b c", "b c d a b c", "c c c c"]
+    few = _collocations(spark, texts, 3)
+    settle = N.settle
+    monkeypatch.setattr(N, "settle", lambda df, most=1: (settle(df)[0], most > 1))
+    assert _collocations(spark, texts, 3) == few
+
+
+def test_no_frequent_words_no_ngrams(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "c"])], "doc_id int, words array<string>")
+    assert N.bigram_scores(docs, None, 2).count() == N.trigram_scores(docs, None, 2).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3])
+def test_occurrences_are_shuffled_as_numbers(spark, n, capsys):
+    docs = spark.createDataFrame([(1, ["a", "b", "c"])], "doc_id int, words array<string>")
+    kept = N.kept_word_counts(docs)
+    score = N.bigram_scores if n == 2 else N.trigram_scores
+    score(docs, None, 1, counts=kept).explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(w1" not in plan and "ArrayTransform" not in plan and "transform(" not in plan
+
+
 def test_redundant_terms(spark):
     terms = lambda *t: spark.createDataFrame([(x,) for x in t], "term string")
     lemmas = Y.drop_redundant_lemmas(terms("new", "york", "city"), terms("new york"))
