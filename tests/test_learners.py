@@ -125,6 +125,24 @@ def test_knn_keeps_a_bounded_stratified_sample(blobs):
     assert _accuracy(out) > 0.9 and "probability" in out.columns
 
 
+def test_knn_has_one_answer_at_every_size(spark, tmp_path, monkeypatch):
+    """Rows beyond what is shipped are all kept, in files, and give the same neighbours as shipped ones, ties included."""
+    rng = np.random.default_rng(8)
+    rows = [(i // 2 if i % 7 else None, float(rng.integers(0, 3)), [float(v) for v in rng.integers(0, 4, 3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, label_index double, x array<double>")
+    train = df.withColumn("features", array_to_vector("x")).drop("x").repartition(5)
+    monkeypatch.setattr(Nb, "CHUNK", 33)
+    small, large = KnnClassifier(k=5).fit(train), KnnClassifier(k=5, shipped=10).fit(train)
+    assert len(small._kept[0]) == 400 and large._kept is None and large._table.count() == 400
+    path = str(tmp_path / "knn")
+    PipelineModel([large]).write().overwrite().save(path)
+    tests = spark.range(64).select("id", array_to_vector(F.array(*[(F.shiftright("id", 2 * i) % 4).cast("double") for i in range(3)])).alias("features"))
+    shares = lambda model: {r.id: tuple(r.probability) for r in model.transform(tests).collect()}
+    assert shares(small) == shares(large) == shares(PipelineModel.load(path)) and len(shares(small)) == 64
+    # no default leaves out rows
+    assert KnnClassifier().getOrDefault("maxValues") == 0
+
+
 def test_feature_maps_approximate_their_kernels():
     rng = np.random.default_rng(0)
     x, z = rng.normal(size=(2, 20, 6)) * 0.5
