@@ -325,3 +325,48 @@ def test_few_rows_of_many_features_are_fitted_in_their_span(spark, monkeypatch):
     assert max(widths) == 496
     assert np.abs(narrow - wide).sum() <= 2
     rows.unpersist()
+
+
+def test_passes_leave_no_shuffle_files(spark, tmp_path):
+    """Sums of a pass are as wide as a model; those of all passes would fill the disk."""
+    import gc
+
+    from verbalis.learners import machines as Ma
+
+    tracked = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses
+    rows = spark.range(400).select(F.array(F.col("id").cast("double")).alias("x")).repartition(20).persist()
+    rows.count()
+    gc.collect()
+    known = lambda: {int(k) for k in tracked().keySet().mkString(",").split(",") if k}
+    before = known()
+    for _ in range(3):
+        assert Ma.totals_of(rows, lambda batches: np.ones(1) if sum(b.num_rows for b in batches) else None, 1)[0] == 20
+    assert known() <= before
+    rows.unpersist()
+
+
+def test_mapped_rows_do_not_spread_over_more_partitions_than_their_work_needs(spark):
+    from verbalis.learners.scored import compacted
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(10)
+    assert compacted(rows, 492_307, 64, 2144).rdd.getNumPartitions() <= max(2 * cores, 492_307 * 64 // 1_000_000)
+    assert compacted(rows, 100, 4, 14).rdd.getNumPartitions() == 1
+
+
+def test_pairs_of_classes_are_fitted_on_their_rows(spark):
+    """Machines of pairs fitted together equal those fitted on the rows of each pair alone."""
+    from verbalis.learners import machines as Ma
+
+    rng = np.random.default_rng(6)
+    data = [((rng.normal(size=3) + 2 * np.eye(3)[i % 3]).tolist(), i % 3, i % 2) for i in range(90)]
+    rows = spark.createDataFrame(data, "x array<double>, y int, fold int").coalesce(1).persist()
+    signs = Ma.one_against_one(3)
+    together = Ma.fit_machines(rows, [Ma.Machine(0, 0.1), Ma.Machine(1, 0.1)], signs, max_iter=200, tol=1e-8)
+    for k, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
+        size = 2 / 3  # the mean loss counts the rows of all classes
+        pair = rows.filter(F.col("y").isin(a, b)).withColumn("y", F.when(F.col("y") == a, 1).otherwise(0)).persist()
+        alone = Ma.fit_machines(pair, [Ma.Machine(0, 0.1 / size)], Ma.one_against_rest(2), max_iter=200, tol=1e-8)[0][0]
+        assert np.abs(together[0][k] - alone).max() < 0.02
+        pair.unpersist()
+    rows.unpersist()
