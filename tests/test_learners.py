@@ -370,3 +370,21 @@ def test_pairs_of_classes_are_fitted_on_their_rows(spark):
         assert np.abs(together[0][k] - alone).max() < 0.02
         pair.unpersist()
     rows.unpersist()
+
+
+def test_machines_of_few_rows_take_no_pass_of_the_cluster_per_step(spark, monkeypatch):
+    """Few rows are held by a task per machine; the weights are those of passes over the rows."""
+    from verbalis.learners import machines as Ma
+
+    rng = np.random.default_rng(7)
+    data = [((rng.normal(size=4) + np.eye(4)[i % 4]).tolist(), i % 4, i % 3) for i in range(120)]
+    rows = spark.createDataFrame(data, "x array<double>, y int, fold int").repartition(3).persist()
+    passes, real = [], Ma.totals_of
+    monkeypatch.setattr(Ma, "totals_of", lambda *a: passes.append(1) or real(*a))
+    machines = [Ma.Machine(f, reg) for f in (0, 1, -1) for reg in (0.01, 1.0)]
+    few = Ma.fit_machines(rows, machines, Ma.one_against_rest(4), "log", 200, 1e-7)
+    assert not passes
+    monkeypatch.setattr(Ma, "HELD_VALUES", 0)
+    many = Ma.fit_machines(rows, machines, Ma.one_against_rest(4), "log", 200, 1e-7)
+    assert len(passes) > 5 and all(np.abs(a - b).max() < 1e-3 for a, b in zip(few, many))
+    rows.unpersist()
