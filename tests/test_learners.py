@@ -388,3 +388,25 @@ def test_machines_of_few_rows_take_no_pass_of_the_cluster_per_step(spark, monkey
     many = Ma.fit_machines(rows, machines, Ma.one_against_rest(4), "log", 200, 1e-7)
     assert len(passes) > 5 and all(np.abs(a - b).max() < 1e-3 for a, b in zip(few, many))
     rows.unpersist()
+
+
+def test_boosters_of_few_rows_take_no_pass_of_the_cluster_per_level(spark, blobs, monkeypatch):
+    from verbalis.learners import boosting as Bo
+
+    x = vector_to_array("features").alias("x")
+    noisy = (F.col("label_index") + (F.col("doc_id") % 7 == 0).cast("int")) % 3
+    rows = blobs.select(x, noisy.cast("int").alias("y"), (F.col("doc_id") % 2).cast("int").alias("fold")).persist()
+    passes, real = [], Bo.totals_of
+    monkeypatch.setattr(Bo, "totals_of", lambda *a: passes.append(1) or real(*a))
+    made = lambda: Bo.boost(rows, [Bo.Booster(f, 23, depth=3, max_features=3) for f in (0, 1, -1)], 3)
+    few = made()
+    assert not passes
+    monkeypatch.setattr(Bo, "HELD_VALUES", 0)
+    many = made()
+    assert len(passes) >= 23
+    for a, b in zip(few, many):
+        assert len(a) == len(b) == 23
+        for s, t in zip(a, b):
+            assert [s[n] for n in ("feature", "left", "right", "threshold")] == [t[n] for n in ("feature", "left", "right", "threshold")]
+            assert np.allclose(s["shares"], t["shares"])
+    rows.unpersist()
